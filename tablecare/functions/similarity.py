@@ -6,6 +6,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql import types as T
 
 # Fixed value: a word is a run of letters and digits.
 WORD = re.compile(r"[^\W_]+")
@@ -56,7 +57,7 @@ def _score(term: str | None, text: str | None, known: dict[str, frozenset[str]])
     return best_overlap(known[term], word_trigrams(text)) if known[term] else 0.0
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _word_similarity(terms: pd.Series, texts: pd.Series) -> pd.Series:
     known: dict[str, frozenset[str]] = {}
     return pd.Series([_score(term, text, known) for term, text in zip(terms, texts)], dtype="float64")

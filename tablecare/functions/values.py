@@ -16,7 +16,19 @@ UUID_DASHED = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9
 UUID_PLAIN = "^[0-9a-fA-F]{32}$"
 UUID_ZERO = "00000000-0000-0000-0000-000000000000"
 
+# The texts of a whole number and of a real number. Testing them first spares Spark
+# an exception per bad value.
+WHOLE_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+REAL_TEXT = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:nan|infinity))\s*$"
+
+# Fixed value: how an ISO date begins. A time alone would be read as a time of today.
+ISO_START = "^[0-9]{4}-[0-9]{1,2}"
+
+# Fixed value: the text of an array of whole numbers.
+WHOLE_ARRAY = r"^\[\s*((-?[0-9]+|null)\s*(,\s*(-?[0-9]+|null)\s*)*)?\]$"
+
 WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32}
 REAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -34,23 +46,47 @@ def canonical_uuid(column: Column) -> Column:
     return F.nullif(F.when(digits.rlike(UUID_PLAIN), dashed), F.lit(UUID_ZERO))
 
 
+def to_bigint(text: Column) -> Column:
+    """A whole number with a sign and outer blanks allowed; anything else, ``1.5`` too, is NULL."""
+    return F.when(text.rlike(WHOLE_TEXT), text.try_cast("bigint"))
+
+
+def to_whole(text: Column, target: T.DataType) -> Column:
+    """A whole number of any width; one that does not fit is NULL."""
+    wide = to_bigint(text)
+    if isinstance(target, T.LongType):
+        return wide
+    top = 1 << (BITS[type(target)] - 1)
+    return F.when(wide.between(-top, top - 1), wide.cast(target))
+
+
+def to_real(text: Column, target: T.DataType) -> Column:
+    """A number with exponent, NaN and Infinity allowed; anything else is NULL."""
+    return F.when(text.rlike(REAL_TEXT), F.trim(text).try_cast(target))
+
+
 def to_boolean(text: Column) -> Column:
     """A whole number is true unless 0; ``true``/``false`` in any case; anything else is NULL."""
-    number = text.try_cast("bigint")
+    number = to_bigint(text)
     word = F.lower(F.trim(text))
     return F.when(number.isNotNull(), number != 0).when(word == "true", True).when(word == "false", False)
 
 
 def to_timestamp_utc(text: Column) -> Column:
-    """ISO text to an instant; without an offset it is UTC (the session zone)."""
-    return F.try_to_timestamp(F.trim(text))
+    """ISO text to an instant; without an offset it is UTC (the session zone). Other forms are NULL."""
+    trimmed = F.trim(text)
+    return F.when(trimmed.rlike(ISO_START), trimmed.try_cast("timestamp"))
 
 
 def to_array(text: Column, dtype: T.ArrayType) -> Column:
-    """``[..]`` text to an array, else NULL."""
+    """``[..]`` text to an array, else NULL; one bad element makes the whole text bad."""
     trimmed = F.trim(text)
-    parsed = F.from_json(trimmed, dtype, {"mode": "PERMISSIVE"})
-    return F.when(trimmed.startswith("[") & trimmed.endswith("]"), parsed)
+    shaped = trimmed.startswith("[") & trimmed.endswith("]")
+    if isinstance(dtype.elementType, WHOLE):
+        shaped = trimmed.rlike(WHOLE_ARRAY)
+    parsed = F.from_json(trimmed, dtype)
+    lost = F.exists(parsed, lambda x: x.isNull()) & ~F.contains(F.lower(trimmed), F.lit("null"))
+    return F.when(shaped & ~F.coalesce(lost, F.lit(False)), parsed)
 
 
 def convert(column: Column, source: T.DataType, target: T.DataType, max_length: int | None = None) -> Column:
@@ -65,7 +101,9 @@ def convert(column: Column, source: T.DataType, target: T.DataType, max_length:
     if isinstance(target, WHOLE):
         if isinstance(source, REAL):
             return F.when(column == F.floor(column), column).try_cast(target)
-        return text.try_cast(target)
+        return to_whole(text, target)
+    if isinstance(target, REAL) and isinstance(source, T.StringType):
+        return to_real(text, target)
     if isinstance(target, (T.TimestampType, T.TimestampNTZType)):
         if isinstance(source, (T.TimestampType, T.TimestampNTZType, T.DateType)):
             return column.cast(target)

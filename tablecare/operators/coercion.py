@@ -19,6 +19,8 @@ BAD_VALUE = "bad value"
 OUT_OF_RANGE = "out of range"
 MISSING = "missing value"
 
+REJECT = "table string, row_key string, column string, raw string, reason string"
+
 
 class Coerced(NamedTuple):
     """``clean`` rows and one ``rejects`` row per value that was lost or that refused its row."""
@@ -27,15 +29,32 @@ class Coerced(NamedTuple):
     rejects: DataFrame
 
 
-def _reason(raw: Column, made: Column, source: T.DataType, column: ColumnSpec) -> Column:
-    """Why a value was rejected, NULL when it was not."""
-    bad = F.when(raw.isNotNull() & made.isNull(), F.lit(BAD_VALUE))
-    if isinstance(column.dtype, NARROW):
-        wide = values.convert(raw, source, T.LongType())
-        bad = F.when(raw.isNotNull() & made.isNull() & wide.isNotNull(), F.lit(OUT_OF_RANGE)).otherwise(bad)
-    if not column.nullable:
-        bad = F.coalesce(F.when(bad == OUT_OF_RANGE, bad), F.when(made.isNull(), F.lit(MISSING)), bad)
-    return bad
+def _lost(raw: Column, source: T.DataType, column: ColumnSpec) -> Column:
+    """Whether a value is there but cannot be read."""
+    return raw.isNotNull() & values.convert(raw, source, column.dtype, column.max_length).isNull()
+
+
+def _too_wide(raw: Column, source: T.DataType, column: ColumnSpec) -> Column | None:
+    """Whether a whole number does not fit its narrow column; ``None`` where that cannot happen."""
+    if not isinstance(column.dtype, NARROW) or source == column.dtype:
+        return None
+    return _lost(raw, source, column) & values.convert(raw, source, T.LongType()).isNotNull()
+
+
+def _absent(raw: Column, source: T.DataType, column: ColumnSpec) -> Column | None:
+    """Whether a required column has no value; ``None`` where it is not required."""
+    if column.nullable:
+        return None
+    return values.convert(raw, source, column.dtype, column.max_length).isNull()
+
+
+def _reason(raw: Column, source: T.DataType, column: ColumnSpec) -> Column | None:
+    """Why a value was rejected, NULL where it was not; ``None`` where nothing can go wrong."""
+    tests = [(_too_wide(raw, source, column), OUT_OF_RANGE), (_absent(raw, source, column), MISSING)]
+    if source != column.dtype and not isinstance(column.dtype, T.StringType):
+        tests.append((_lost(raw, source, column), BAD_VALUE))
+    named = [F.when(test, F.lit(label)) for test, label in tests if test is not None]
+    return F.coalesce(*named) if named else None
 
 
 def coerce(df: DataFrame, spec: TableSpec, carry: list[str] | None = None) -> Coerced:
@@ -51,31 +70,31 @@ def coerce(df: DataFrame, spec: TableSpec, carry: list[str] | None = None) -> Co
     shared = shared.withColumns({c: F.expr(e) for c, e in spec.derived_for(shared.columns).items()})
     kinds = {f.name: f.dataType for f in shared.schema.fields}
     columns = [spec.column(name) for name in shared.columns]
-    made = {c.name: values.convert(F.col(c.name), kinds[c.name], c.dtype, c.max_length) for c in columns}
-    problems = [
-        F.struct(
-            F.lit(c.name).alias("column"),
-            F.col(c.name).cast("string").alias("raw"),
-            _reason(F.col(c.name), made[c.name], kinds[c.name], c).alias("reason"),
-        )
+
+    fatal = [
+        test
         for c in columns
+        for test in (_too_wide(F.col(c.name), kinds[c.name], c), _absent(F.col(c.name), kinds[c.name], c))
+        if test is not None
     ]
-    found = F.filter(F.array(*problems), lambda p: p["reason"].isNotNull())
-    refused = F.exists(found, lambda p: p["reason"].isin(OUT_OF_RANGE, MISSING))
-    clean = shared.where(~refused).select(*[made[c.name].alias(c.name) for c in columns])
+    accepted = shared.where(~reduce(Column.__or__, fatal)) if fatal else shared
+    clean = accepted.select(
+        *[values.convert(F.col(c.name), kinds[c.name], c.dtype, c.max_length).alias(c.name) for c in columns]
+    )
+
+    problems = [
+        F.struct(F.lit(c.name).alias("column"), F.col(c.name).cast("string").alias("raw"), reason.alias("reason"))
+        for c, reason in ((c, _reason(F.col(c.name), kinds[c.name], c)) for c in columns)
+        if reason is not None
+    ]
+    if not problems:
+        return Coerced(clean, df.sparkSession.createDataFrame([], REJECT))
     identity = carry if carry is not None else [k for k in spec.key if k in shared.columns]
+    named = F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in identity])) if identity else F.lit(None)
     rejects = (
-        shared.where(F.size(found) > 0)
-        .withColumn("_problem", F.explode(found))
-        .select(
-            F.lit(spec.name).alias("table"),
-            F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in identity])).alias("row_key")
-            if identity
-            else F.lit(None).cast("string").alias("row_key"),
-            F.col("_problem.column").alias("column"),
-            F.col("_problem.raw").alias("raw"),
-            F.col("_problem.reason").alias("reason"),
-        )
+        shared.withColumn("_problem", F.explode(F.array(*problems)))
+        .where(F.col("_problem.reason").isNotNull())
+        .select(F.lit(spec.name).alias("table"), named.cast("string").alias("row_key"), "_problem.*")
     )
     return Coerced(clean, rejects)
 

@@ -1,5 +1,8 @@
 """Batch text search: many terms against a catalogue, best matches per term.
 
+A few terms travel as a literal list and every text is tested once for each of them, in one scan
+without a shuffle. With more terms that would cost terms x text, so the terms are filed by grams.
+
 A text that holds a term holds every gram (1 to 3 characters in a row) of the term. So each term
 is filed under one of its grams, each text offers its distinct grams, and the two meet in an
 equi-join; the substring test then runs on those candidates only. The gram of a term is the one
@@ -17,6 +20,9 @@ from tablecare.functions.text import contains_in_any
 from tablecare.operators.paging import TOP_LIMIT, clamp
 
 GRAM = 3
+FEW_TERMS = 512
+"""Up to this number of queries, each text is tested for every term directly."""
+
 BROADCAST_TERMS = 100_000
 """Terms are sent to every task only up to this number; beyond it the join shuffles ids."""
 
@@ -55,16 +61,51 @@ def file_terms(terms: DataFrame, corpus: DataFrame, query_id: str, columns: list
     return ranked.withColumn("_place", place).where(F.col("_place") == 1).select(query_id, "_term", "_gram")
 
 
+def _scan(terms: DataFrame, corpus: DataFrame, query_id: str, columns: list[str]) -> DataFrame:
+    """Pairs by direct test; the terms are few enough to be literals of the plan."""
+    rows = terms.select(query_id, "_term").collect()
+    kind = terms.schema[query_id].dataType
+    wanted = F.array(
+        *[
+            F.struct(F.lit(q).cast(kind).alias(query_id), F.lit(t).alias("_term"), F.lower(F.lit(t)).alias("_low"))
+            for q, t in rows
+        ]
+    )
+    lowered = [f"_low_{i}" for i in range(len(columns))]
+    texts = corpus.withColumns({low: F.lower(F.coalesce(c, F.lit(""))) for low, c in zip(lowered, columns)})
+
+    def holds(wanted_term: Column) -> Column:
+        return reduce(Column.__or__, [F.contains(F.col(low), wanted_term["_low"]) for low in lowered])
+
+    hits = texts.withColumn("_hit", F.explode(F.filter(wanted, holds)))
+    return hits.select(*corpus.columns, f"_hit.{query_id}", "_hit._term")
+
+
 def candidates(
-    queries: DataFrame, corpus: DataFrame, query_id: str, term: str, corpus_id: str, columns: list[str]
+    queries: DataFrame,
+    corpus: DataFrame,
+    query_id: str,
+    term: str,
+    corpus_id: str,
+    columns: list[str],
+    few: int = FEW_TERMS,
+    broadcast_up_to: int = BROADCAST_TERMS,
 ) -> DataFrame:
-    """All (query, row) pairs where a column of the row holds the term, with the row's columns."""
+    """All (query, row) pairs where a column of the row holds the term, with the row's columns.
+
+    The number of terms picks the strategy; all three give the same pairs.
+    """
     terms = normal_terms(queries, query_id, term)
     shape = terms.agg(F.count(F.lit(1)).alias("n"), F.collect_set("_size").alias("sizes")).first()
-    sizes = sorted(shape["sizes"]) or [GRAM]
+    if shape["n"] == 0:
+        kind = terms.schema[query_id].dataType
+        return corpus.limit(0).withColumns({query_id: F.lit(None).cast(kind), "_term": F.lit("")})
+    if shape["n"] <= few:
+        return _scan(terms, corpus, query_id, columns)
+    sizes = sorted(shape["sizes"])
     filed = file_terms(terms, corpus, query_id, columns, sizes)
     holds = contains_in_any([F.col(c) for c in columns], F.col("_term"))
-    if shape["n"] <= BROADCAST_TERMS:
+    if shape["n"] <= broadcast_up_to:
         offered = corpus.withColumn("_gram", F.explode(_all_grams(columns, sizes)))
         return offered.join(F.broadcast(filed), "_gram").where(holds).drop("_gram")
     offered = corpus.select(F.col(corpus_id).alias("_row_id"), F.explode(_all_grams(columns, sizes)).alias("_gram"))
@@ -94,6 +135,7 @@ def search(
     name: str | None = None,
     k: int = 8,
     scorer: str = "similarity",
+    few: int = FEW_TERMS,
 ) -> DataFrame:
     """The best ``k`` rows (1 to 50) of ``corpus`` per query: (query_id, corpus_id, relevance, position).
 
@@ -105,7 +147,7 @@ def search(
     k = clamp(k, 1, TOP_LIMIT)
     when = F.col(date) if date else F.lit(None).cast("timestamp")
     used = [c for c in dict.fromkeys([corpus_id, *columns, *([name] if name else []), *([date] if date else [])])]
-    found = candidates(queries, corpus.select(*used), query_id, term, corpus_id, columns)
+    found = candidates(queries, corpus.select(*used), query_id, term, corpus_id, columns, few)
     if scorer == "exact":
         score = exact_score(F.col(name or columns[0]), F.col("_term"))
     else:

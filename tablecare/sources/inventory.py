@@ -19,28 +19,45 @@ def _bound(kind, field: T.StructField) -> Column:
     return kind(field.name).cast("string")
 
 
+def _as_text(field: T.StructField) -> Column:
+    """A value as text, different texts for different values."""
+    column = F.col(field.name)
+    if isinstance(field.dataType, (T.MapType, T.VariantType, T.StructType, T.ArrayType)):
+        return F.to_json(F.struct(column))
+    if isinstance(field.dataType, T.BinaryType):
+        return F.hex(column)
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        return (column + F.lit(0.0)).cast("string")  # -0.0 and 0.0 are one value
+    return column.cast("string")
+
+
+def _distinct_counts(df: DataFrame) -> DataFrame:
+    """Distinct values per column position: (column, value) pairs are combined map-side, then counted."""
+    pairs = [F.struct(F.lit(i + 1).alias("position"), _as_text(f).alias("value")) for i, f in enumerate(df.schema.fields)]
+    long = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
+    return long.distinct().groupBy("position").agg(F.count(F.lit(1)).alias("distinct_values"))
+
+
 def column_profile(df: DataFrame, table: str, distinct: str = "exact") -> DataFrame:
     """One row per column: type, position, nullability, NULLs, distinct values, bounds, longest text.
 
-    One aggregation serves all columns. Exact distinct counts multiply the rows by the number of
-    columns before the map-side combine; on wide tables ``distinct='approx'`` keeps one row per row.
+    One aggregation serves all columns. Exact distinct counts take a second one over (column, value)
+    pairs; ``distinct='approx'`` stays with the first.
     """
     if distinct not in ("exact", "approx"):
         raise ValueError("distinct must be 'exact' or 'approx'")
-    count_values = F.count_distinct if distinct == "exact" else F.approx_count_distinct
-    fields = df.schema.fields
     aggregates, lines = [], []
-    for i, field in enumerate(fields):
+    for i, field in enumerate(df.schema.fields):
         column = F.col(field.name)
-        comparable = F.to_json(column) if isinstance(field.dataType, (T.MapType, T.VariantType)) else column
         longest = F.max(F.char_length(column)) if isinstance(field.dataType, T.StringType) else F.lit(None)
         aggregates += [
             F.count_if(column.isNull()).alias(f"_nulls_{i}"),
-            count_values(comparable).alias(f"_distinct_{i}"),
             _bound(F.min, field).alias(f"_min_{i}"),
             _bound(F.max, field).alias(f"_max_{i}"),
             longest.cast("int").alias(f"_longest_{i}"),
         ]
+        if distinct == "approx":
+            aggregates.append(F.approx_count_distinct(_as_text(field)).alias(f"_distinct_{i}"))
         lines.append(
             F.struct(
                 F.lit(table).alias("table"),
@@ -49,13 +66,18 @@ def column_profile(df: DataFrame, table: str, distinct: str = "exact") -> DataFr
                 F.lit(field.dataType.simpleString()).alias("type"),
                 F.lit(field.nullable).alias("nullable"),
                 F.col(f"_nulls_{i}").alias("nulls"),
-                F.col(f"_distinct_{i}").alias("distinct_values"),
                 F.col(f"_min_{i}").alias("min_value"),
                 F.col(f"_max_{i}").alias("max_value"),
                 F.col(f"_longest_{i}").alias("longest"),
+                (F.col(f"_distinct_{i}") if distinct == "approx" else F.lit(None).cast("bigint")).alias("distinct_values"),
             )
         )
-    return df.agg(*aggregates).select(F.inline(F.array(*lines)))
+    profiled = df.agg(*aggregates).select(F.inline(F.array(*lines)))
+    if distinct == "exact":
+        joined = profiled.drop("distinct_values").join(_distinct_counts(df), "position", "left")
+        profiled = joined.withColumn("distinct_values", F.coalesce("distinct_values", F.lit(0).cast("bigint")))
+    order = "table position column type nullable nulls distinct_values min_value max_value longest".split()
+    return profiled.select(*order)
 
 
 def inventory(spark: SparkSession, folder: str, names: list[str] | None = None, distinct: str = "exact") -> DataFrame:
