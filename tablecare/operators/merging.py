@@ -28,8 +28,14 @@ def one_per_key(incoming: DataFrame, keys: list[str], order: list[Column | str])
 
 
 def new_rows(stored: DataFrame, incoming: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
-    """The rows a keep-first merge would add."""
-    return one_per_key(incoming, keys, order).join(stored.select(*keys), keys, "left_anti").select(*incoming.columns)
+    """The rows a keep-first merge would add.
+
+    The stored keys are first cut to those that arrive. When few rows arrive that is a broadcast
+    filter, so a large stored table is scanned (key columns only) and never shuffled.
+    """
+    fresh = one_per_key(incoming, keys, order)
+    held = stored.select(*keys).join(fresh.select(*keys), keys, "left_semi")
+    return fresh.join(held, keys, "left_anti").select(*incoming.columns)
 
 
 def merge_keep_first(stored: DataFrame, incoming: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:

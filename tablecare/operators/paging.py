@@ -10,7 +10,7 @@ from tablecare.operators.keys import number_rows, total_order
 
 TOP_LIMIT = 50
 PREVIEW_LIMIT = 200
-SHALLOW_ROWS = 100_000
+SHALLOW_ROWS = 5_000
 
 
 def clamp(value: int, low: int, high: int) -> int:

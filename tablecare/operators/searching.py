@@ -26,6 +26,10 @@ FEW_TERMS = 512
 BROADCAST_TERMS = 100_000
 """Terms are sent to every task only up to this number; beyond it the join shuffles ids."""
 
+BROADCAST_BYTES = 64 << 20
+LITERAL_BYTES = 1 << 20
+"""Bounds on the text of the terms for the same two strategies."""
+
 SAMPLE = 0.05
 
 
@@ -96,16 +100,18 @@ def candidates(
     The number of terms picks the strategy; all three give the same pairs.
     """
     terms = normal_terms(queries, query_id, term)
-    shape = terms.agg(F.count(F.lit(1)).alias("n"), F.collect_set("_size").alias("sizes")).first()
+    shape = terms.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("_term")).alias("bytes"), F.collect_set("_size").alias("sizes")
+    ).first()
     if shape["n"] == 0:
         kind = terms.schema[query_id].dataType
         return corpus.limit(0).withColumns({query_id: F.lit(None).cast(kind), "_term": F.lit("")})
-    if shape["n"] <= few:
+    if shape["n"] <= few and shape["bytes"] <= LITERAL_BYTES:
         return _scan(terms, corpus, query_id, columns)
     sizes = sorted(shape["sizes"])
     filed = file_terms(terms, corpus, query_id, columns, sizes)
     holds = contains_in_any([F.col(c) for c in columns], F.col("_term"))
-    if shape["n"] <= broadcast_up_to:
+    if shape["n"] <= broadcast_up_to and shape["bytes"] <= BROADCAST_BYTES:
         offered = corpus.withColumn("_gram", F.explode(_all_grams(columns, sizes)))
         return offered.join(F.broadcast(filed), "_gram").where(holds).drop("_gram")
     offered = corpus.select(F.col(corpus_id).alias("_row_id"), F.explode(_all_grams(columns, sizes)).alias("_gram"))

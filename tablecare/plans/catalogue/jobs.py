@@ -84,6 +84,22 @@ def write_keep(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query(
+    """
+    SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_acctbal < 0 AND c_mktsegment <> 'BUILDING'
+    UNION ALL SELECT c_custkey, 'changed' AS c_name, c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING'
+    """
+)
+def write_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored table in which the customers of one segment are replaced or added."""
+    path = table_path(run_folder(spark), "customer")
+    customers = read_table(spark, sf, "customer", ["c_custkey", "c_name", "c_mktsegment", "c_acctbal"])
+    write_table(customers.where("c_acctbal < 0").drop("c_acctbal"), path, "reload")
+    changed = customers.where("c_mktsegment = 'BUILDING'").select("c_custkey", F.lit("changed").alias("c_name"), "c_mktsegment")
+    write_table(changed, path, "upsert", ["c_custkey"])
+    return spark.read.parquet(path)
+
+
 @query(
     """
     SELECT 'customer' AS "table", count(*) AS rows_before, CAST(0 AS bigint) AS rows_after FROM customer
@@ -227,11 +243,13 @@ def reconcile(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-    (SELECT l_partkey, l_suppkey, l_returnflag, 'missing' AS status FROM lineitem WHERE l_linestatus = 'O'
-     EXCEPT ALL SELECT l_partkey, l_suppkey, l_returnflag, 'missing' FROM lineitem WHERE l_linestatus = 'F')
-    UNION ALL
-    (SELECT l_partkey, l_suppkey, l_returnflag, 'extra' AS status FROM lineitem WHERE l_linestatus = 'F'
-     EXCEPT ALL SELECT l_partkey, l_suppkey, l_returnflag, 'extra' FROM lineitem WHERE l_linestatus = 'O')
+    SELECT l_partkey, l_suppkey, l_returnflag, status, count(*) AS copies FROM (
+        (SELECT l_partkey, l_suppkey, l_returnflag, 'missing' AS status FROM lineitem WHERE l_linestatus = 'O'
+         EXCEPT ALL SELECT l_partkey, l_suppkey, l_returnflag, 'missing' FROM lineitem WHERE l_linestatus = 'F')
+        UNION ALL
+        (SELECT l_partkey, l_suppkey, l_returnflag, 'extra' AS status FROM lineitem WHERE l_linestatus = 'F'
+         EXCEPT ALL SELECT l_partkey, l_suppkey, l_returnflag, 'extra' FROM lineitem WHERE l_linestatus = 'O'))
+    GROUP BY ALL
     """
 )
 def reconcile_multiset(spark: SparkSession, sf: str) -> DataFrame:

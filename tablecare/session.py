@@ -16,6 +16,18 @@ SETTINGS = {
 }
 
 
+SHUFFLE_BYTES = 256 << 20
+MOST_PARTITIONS = 50_000
+
+
+def shuffle_partitions(input_bytes: int, cores: int) -> int:
+    """Shuffle partitions for an input: about 256 MB each, two per core at least, 50 000 at most.
+
+    Adaptive execution joins small ones again, so too many costs little and too few would spill.
+    """
+    return max(2 * cores, min(MOST_PARTITIONS, -(-input_bytes // SHUFFLE_BYTES)))
+
+
 def build_session(app: str = "tablecare", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the settings the jobs rely on."""
     builder = SparkSession.builder.appName(app)

@@ -7,8 +7,10 @@ from typing import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
+from tablecare.functions.text import fingerprint
 from tablecare.operators.health import row_counts
 from tablecare.operators.keys import null_safe
+from tablecare.operators.sets import balance
 
 
 def reconcile_counts(source: Mapping[str, DataFrame], copy: Mapping[str, DataFrame]) -> DataFrame:
@@ -19,12 +21,18 @@ def reconcile_counts(source: Mapping[str, DataFrame], copy: Mapping[str, DataFra
     return joined.withColumn("difference", F.col("copy_rows") - F.col("source_rows"))
 
 
-def reconcile_rows(source: DataFrame, copy: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys that differ: (keys, status) with ``missing``, ``extra`` or ``changed``. Keys are unique."""
+def reconcile_rows(source: DataFrame, copy: DataFrame, keys: list[str], by: str = "values") -> DataFrame:
+    """Keys that differ: (keys, status) with ``missing``, ``extra`` or ``changed``. Keys are unique.
+
+    ``by='fingerprint'`` shuffles a SHA-256 of each row in place of its values: less data for wide rows.
+    """
+    if by not in ("values", "fingerprint"):
+        raise ValueError("by must be 'values' or 'fingerprint'")
     values = [c for c in source.columns if c not in keys]
-    left = source.select(*keys, F.struct(*values).alias("_left"), F.lit(True).alias("_in_left"))
+    content = fingerprint(F.to_json(F.struct(*values))) if by == "fingerprint" else F.struct(*values)
+    left = source.select(*keys, content.alias("_left"), F.lit(True).alias("_in_left"))
     right = copy.select(
-        *[F.col(k).alias(f"_copy_{k}") for k in keys], F.struct(*values).alias("_right"), F.lit(True).alias("_in_right")
+        *[F.col(k).alias(f"_copy_{k}") for k in keys], content.alias("_right"), F.lit(True).alias("_in_right")
     )
     joined = left.join(right, null_safe(left, right, [(k, f"_copy_{k}") for k in keys]), "full")
     status = (
@@ -37,11 +45,10 @@ def reconcile_rows(source: DataFrame, copy: DataFrame, keys: list[str]) -> DataF
 
 
 def reconcile_multiset(source: DataFrame, copy: DataFrame) -> DataFrame:
-    """Whole rows with their side, for tables without a key: ``missing`` or ``extra``, repeats counted."""
-    same = copy.select(*source.columns)
-    gone = source.exceptAll(same).withColumn("status", F.lit("missing"))
-    more = same.exceptAll(source).withColumn("status", F.lit("extra"))
-    return gone.unionByName(more)
+    """Distinct rows that one side has more often: ``missing`` or ``extra``, and how many copies."""
+    uneven = balance(source, copy.select(*source.columns), "copies")
+    status = F.when(F.col("copies") > 0, "missing").otherwise("extra")
+    return uneven.withColumn("status", status).withColumn("copies", F.abs("copies"))
 
 
 def reconcile(

@@ -9,7 +9,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablecare.operators.health import row_counts
-from tablecare.operators.merging import new_rows
+from tablecare.operators.merging import merge_last_wins, new_rows, one_per_key
+from tablecare.session import shared_dir
 
 SUFFIX = ".parquet"
 
@@ -75,23 +76,37 @@ def replace_table(df: DataFrame, path: str) -> None:
     spark.catalog.refreshByPath(path)
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back: later plans know its size, and it is made once."""
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/tablecare-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_table(
     df: DataFrame, path: str, mode: str = "reload", keys: list[str] = (), order: list[Column | str] = ()
 ) -> None:
-    """``reload`` replaces the table; ``keep`` adds the rows whose key is not stored yet.
+    """``reload`` replaces the table, ``keep`` adds the rows whose key is not stored yet, ``upsert``
+    lets incoming rows win (``order`` sorts them newest first).
 
-    ``keep`` appends new files only: stored data is read (key columns) but never rewritten.
+    ``keep`` appends new files only: stored data is read (key columns) but never rewritten. The
+    incoming rows are staged, one per key, so their size decides how they meet the stored ones.
     """
     spark = df.sparkSession
-    if mode == "reload" or (mode == "keep" and not exists(spark, path)):
-        source = df if mode == "reload" else new_rows(df.limit(0), df, list(keys), list(order))
-        replace_table(source, path)
-    elif mode == "keep":
+    if mode in ("keep", "upsert") and exists(spark, path):
         stored = spark.read.parquet(path)
-        new_rows(stored, df.select(*stored.columns), list(keys), list(order)).write.mode("append").parquet(path)
-        spark.catalog.refreshByPath(path)
+        latest = staged(one_per_key(df.select(*stored.columns), list(keys), list(order)))
+        if mode == "upsert":
+            replace_table(merge_last_wins(stored, latest, list(keys), list(order)), path)
+        else:
+            new_rows(stored, latest, list(keys), list(order)).write.mode("append").parquet(path)
+            spark.catalog.refreshByPath(path)
+    elif mode in ("keep", "upsert"):
+        replace_table(one_per_key(df, list(keys), list(order)), path)
+    elif mode == "reload":
+        replace_table(df, path)
     else:
-        raise ValueError("mode must be 'reload' or 'keep'")
+        raise ValueError("mode must be 'reload', 'keep' or 'upsert'")
 
 
 def purge(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from tablecare.plans import guarded_sql as g
 from tablecare.plans import repair as repairs
 from tablecare.plans import reports
 from tablecare.sources import copying, history, inventory, reconciling, tables
+from tablecare.session import shuffle_partitions
 from tablecare.spec import ColumnSpec, ForeignKey, TableSpec
 
 
@@ -91,10 +92,18 @@ def test_keep_appends_only_new_files(spark, folder, rows):
     tables.write_table(spark.createDataFrame([(2, "x"), (3, "d")], "id int, v string"), path, "keep", ["id"])
     assert rows(spark.read.parquet(path)) == [(1, "a"), (2, "c"), (3, "d")]
     assert before < set(tables.list_names(spark, path))
+    newer = spark.createDataFrame([(2, "y"), (2, "z"), (9, None)], "id int, v string")
+    tables.write_table(newer, path, "upsert", ["id"], [F.col("v").desc()])
+    assert rows(spark.read.parquet(path)) == [(1, "a"), (2, "z"), (3, "d"), (9, None)]
     with pytest.raises(ValueError):
         tables.write_table(first, path, "other")
 
 
+def test_shuffle_partitions_follow_the_input():
+    assert shuffle_partitions(0, 8) == 16 and shuffle_partitions(1 << 40, 8) == 4096
+    assert shuffle_partitions(100 << 40, 8000) == 50_000
+
+
 def test_purge_snapshot_restore(spark, folder, rows):
     data, root = folder(), folder("root")
     tables.write_table(spark.range(4).toDF("id"), tables.table_path(data, "a"))
@@ -137,7 +146,12 @@ def test_history_rule(frame, rows):
 def test_reconcile(frame, rows):
     a = frame([(1, "x"), (2, None), (3, "z")], "id int, v string")
     b = frame([(2, None), (3, "Z"), (4, "n")], "id int, v string")
-    assert rows(reconciling.reconcile_rows(a, b, ["id"])) == [(1, "missing"), (3, "changed"), (4, "extra")]
+    for by in ("values", "fingerprint"):
+        assert rows(reconciling.reconcile_rows(a, b, ["id"], by)) == [(1, "missing"), (3, "changed"), (4, "extra")]
+    twice = reconciling.reconcile_multiset(a.unionAll(a), b)
+    assert rows(twice, "id", "status", "copies") == [
+        (1, "missing", 2), (2, "missing", 1), (3, "extra", 1), (3, "missing", 2), (4, "extra", 1),
+    ]
     counts = reconciling.reconcile_counts({"t": a, "u": a}, {"t": b})
     assert rows(counts) == [("t", 3, 3, 0), ("u", 3, 0, -3)]
 

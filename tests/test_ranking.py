@@ -65,6 +65,9 @@ def test_sets(frame, rows):
     a, b = frame([(1, "x"), (1, "x"), (2, "y")], "i int, s string"), frame([(1, "x")], "i int, s string")
     assert rows(sets.difference(a, b)) == [(2, "y")]
     assert rows(sets.multiset_difference(a, b)) == [(1, "x"), (2, "y")]
+    many, few = frame([(1, "x")] * 25 + [(2, "y")] * 3, "i int, s string"), frame([(1, "x")] * 2, "i int, s string")
+    for copies in (1, 4, 23, 100):
+        assert rows(sets.multiset_difference(many, few, copies)) == [(1, "x")] * 23 + [(2, "y")] * 3
     assert rows(sets.append_all([b, frame([(5,)], "i int")])) == [(1, "x"), (5, None)]
 
 

@@ -44,7 +44,7 @@ def test_similarity_of_nulls_and_blanks(frame):
     assert [r[0] for r in scored] == [0.0, 0.0, 0.0, 1.0]
 
 
-TEXTS = ["100% Wolf", "1000 wolves", "under_score", "underXscore", "back\\slash", "Ünïcode ΣΑΣ", "a", "", None, "Wolf\nLine two"]
+TEXTS = ["100% Wolf", "1000 wolf cubs", "under_score", "underXscore", "back\\slash", "Ünïcode ΣΑΣ", "a", "", None, "Wolf\nLine two"]
 TERMS = ["0%", "_", "\\", "wolf", "O", "a", "ne ", "two", "ünï", "σας", "  ", "absent", "wolf\nl", None]
 
 

@@ -9,7 +9,10 @@ from tablecare.streaming import jobs
 from tests.conftest import SMALL
 
 KEYS = ["user_id", "event_type"]
-ORDER = [F.col("ts").desc(), F.col("event_id").desc()]
+
+
+def newest_first():
+    return [F.col("ts").desc(), F.col("event_id").desc()]
 
 
 @pytest.fixture(scope="module")
@@ -33,14 +36,14 @@ def place(tmp_path):
 
 def test_upsert_reaches_the_batch_result(spark, events, source, place, rows):
     folder, state = place(), place()
-    jobs.start_upsert(source, folder, state, KEYS, ORDER).awaitTermination()
-    expected = rows(m.one_per_key(events, KEYS, ORDER))
-    assert rows(jobs.current(spark, folder, KEYS, ORDER).select(*events.columns)) == expected
-    jobs.fold(spark, folder, KEYS, ORDER)
+    jobs.start_upsert(source, folder, state, KEYS, newest_first()).awaitTermination()
+    expected = rows(m.one_per_key(events, KEYS, newest_first()))
+    assert rows(jobs.current(spark, folder, KEYS, newest_first()).select(*events.columns)) == expected
+    jobs.fold(spark, folder, KEYS, newest_first())
     assert rows(spark.read.parquet(f"{folder}/base").select(*events.columns)) == expected
     shutil.copytree(f"{folder}/base", f"{folder}/copy")
-    jobs.fold(spark, folder, KEYS, ORDER)
-    assert rows(jobs.current(spark, folder, KEYS, ORDER).select(*events.columns)) == expected
+    jobs.fold(spark, folder, KEYS, newest_first())
+    assert rows(jobs.current(spark, folder, KEYS, newest_first()).select(*events.columns)) == expected
 
 
 def test_keep_first_lets_each_key_through_once(spark, events, source, place, rows):
