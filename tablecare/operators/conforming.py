@@ -22,7 +22,8 @@ class Operation(NamedTuple):
 
 
 class Conformed(NamedTuple):
-    """The data, the differences, and ``in_sync``, ``healed``, ``detected``, ``blocked`` or ``disabled``."""
+    """The data, the differences, and ``in_sync``, ``already_healed``, ``healed``, ``detected``, ``blocked``
+    or ``disabled``."""
 
     df: DataFrame
     operations: list[Operation]
@@ -85,15 +86,24 @@ def outcome_of(operations: list[Operation], mode: str) -> str:
     return "healed" if mode == "heal" else "detected"
 
 
-def conform(df: DataFrame, spec: TableSpec, mode: str = "heal", extra: list[Operation] = ()) -> Conformed:
+def conform(
+    df: DataFrame,
+    spec: TableSpec,
+    mode: str = "heal",
+    extra: list[Operation] = (),
+    baseline: TableSpec | None = None,
+) -> Conformed:
     """``df`` in the target schema if every difference is safe, else ``df`` untouched.
 
-    ``extra`` carries differences a schema cannot show, such as ``key_differences``.
+    ``extra`` carries differences a schema cannot show, such as ``key_differences``. ``baseline`` is
+    the schema the data was first made for: data that has moved on from it to ``spec`` was healed before.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(MODES)}")
     operations = [] if mode == "off" else [*differences(df.schema, spec), *extra]
     outcome = outcome_of(operations, mode)
+    if outcome == "in_sync" and baseline is not None and differences(baseline.schema, spec):
+        outcome = "already_healed"
     return Conformed(add_missing(df, spec) if outcome == "healed" else df, operations, outcome)
 
 

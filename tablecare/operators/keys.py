@@ -85,9 +85,10 @@ def attach_values(
     total = stats.agg(F.sum("_rows").alias("n")).scalar()
     hot = stats.where((F.col("_rows") >= min_rows) & (F.col("_rows") >= total * F.lit(share)))
     hot = F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], value.alias("_hot")))
-    cold = stats.select(
-        *[F.col(k).alias(f"_cold_{k}") for k in keys], value.alias("_cold"), F.lit(0).alias("_partner")
-    )
+    # Always 0, but not a constant for the optimizer: a constant would leave the join keys and
+    # become a filter, and the salt would spread nothing.
+    partner = F.least(F.col("_rows"), F.lit(0)).cast("int")
+    cold = stats.select(*[F.col(k).alias(f"_cold_{k}") for k in keys], value.alias("_cold"), partner.alias("_partner"))
     salt = F.pmod(F.xxhash64(*[_sortable(f) for f in df.schema.fields]), F.lit(HOT_SPLITS)).cast("int") + 1
     marked = df.join(hot, null_safe(df, hot, [(k, f"_hot_{k}") for k in keys]), "left")
     marked = marked.withColumn("_salt", F.when(F.col("_hot").isNull(), 0).otherwise(salt))

@@ -90,6 +90,18 @@ def fill_const(df: DataFrame, column: str, value: object) -> DataFrame:
     return fill_derived(df, column, F.lit(value))
 
 
+def reshape(df: DataFrame, drop: list[str] = (), add: dict[str, tuple[str, object]] | None = None) -> DataFrame:
+    """Drop columns, then add columns as name -> (type, default); a default of ``None`` is NULL.
+
+    Dropping comes first, so an added column never takes over the values of one it replaces.
+    """
+    kept = df.drop(*drop)
+    clash = [n for n in (add or {}) if n in kept.columns]
+    if clash:
+        raise ValueError(f"columns exist already: {', '.join(clash)}")
+    return kept.withColumns({n: F.lit(value).cast(kind) for n, (kind, value) in (add or {}).items()})
+
+
 def drop_where(df: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]:
     """Rows that stay and rows that go; a NULL condition keeps the row."""
     gone = F.coalesce(condition, F.lit(False))

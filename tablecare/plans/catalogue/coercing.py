@@ -299,6 +299,13 @@ def null_where_changed(spark: SparkSession, sf: str) -> DataFrame:
     return _ratings(spark, sf)[1].select("c_custkey")
 
 
+@query("SELECT c_custkey, c_name, c_nationkey, CAST(NULL AS varchar) AS c_mktsegment, false AS c_original FROM customer")
+def reshape(spark: SparkSession, sf: str) -> DataFrame:
+    """Two columns leave; one of their names comes back empty, and a flag with a default joins."""
+    customers = read_table(spark, sf, "customer")
+    return p.reshape(customers, ["c_acctbal", "c_mktsegment"], {"c_mktsegment": ("string", None), "c_original": ("boolean", False)})
+
+
 @query("SELECT event_id, user_id, event_type FROM events WHERE event_type NOT IN ('signup', 'error')")
 def drop_where(spark: SparkSession, sf: str) -> DataFrame:
     """Session events are left out of an export."""

@@ -205,6 +205,14 @@ def test_fill_and_drop(frame, rows):
     assert rows(stay, "name") == [("bob",), (None,)] and rows(gone, "name") == [("ada",)]
 
 
+def test_reshape(frame):
+    df = frame([(1, "legacy")], "id int, extra string")
+    made = p.reshape(df, ["extra"], {"extra": ("string", None), "original": ("boolean", False)}).first()
+    assert made.asDict() == {"id": 1, "extra": None, "original": False}
+    with pytest.raises(ValueError, match="extra"):
+        p.reshape(df, add={"extra": ("int", 1)})
+
+
 def test_text_helpers(frame, rows):
     df = frame([("100%",), ("1000",), ("a_b",), ("aXb",), ("c\\d",), (None,)], "s string")
     for term, found in (("0%", ["100%"]), ("A_B", ["a_b"]), ("\\", ["c\\d"])):

@@ -178,6 +178,7 @@ def test_conform_heals_once(spark):
     made = cf.conform(spark.range(2), WIDE)
     assert made.outcome == "healed" and [tuple(r) for r in made.df.collect()] == [(0, None, 3), (1, None, 3)]
     assert cf.conform(made.df, WIDE).outcome == "in_sync"
+    assert cf.conform(made.df, WIDE, baseline=TableSpec("t", WIDE.columns[:1])).outcome == "already_healed"
     assert cf.conform(spark.range(2), WIDE, "report").outcome == "detected"
     assert cf.conform(spark.range(2), WIDE, "off").outcome == "disabled"
 

@@ -23,6 +23,26 @@ def test_attach_group_is_the_window_result(skewed, rows):
         assert rows(got, "id", "low", "top") == rows(expected)
 
 
+def test_hot_rows_are_spread_by_the_join(spark, skewed):
+    """With no broadcast of the cold side, the rows of the hot key must not share one task."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {n: spark.conf.get(n, None) for n in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        got = keys.attach_group(skewed, ["k"], {"low": F.min("id")}, share=0.1, min_rows=10)
+        assert any("hashpartitioning" in line and "_salt" in line for line in plan_of(got).splitlines())
+        spread = got.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
+        assert len(spread) > 1 and max(r["count"] for r in spread) < 1600
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_hot_keys_are_found_and_split_exactly(skewed, rows):
     hot = keys.hot_keys(skewed, ["k"], share=0.3, min_rows=10, fraction=1.0)
     assert rows(hot) == [(7,)]
