@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import re
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
 
+# The functions travel to the workers by value: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed value: a word is a run of letters and digits.
 WORD = re.compile(r"[^\W_]+")
 

@@ -84,9 +84,7 @@ def to_array(text: Column, dtype: T.ArrayType) -> Column:
     shaped = trimmed.startswith("[") & trimmed.endswith("]")
     if isinstance(dtype.elementType, WHOLE):
         shaped = trimmed.rlike(WHOLE_ARRAY)
-    parsed = F.from_json(trimmed, dtype)
-    lost = F.exists(parsed, lambda x: x.isNull()) & ~F.contains(F.lower(trimmed), F.lit("null"))
-    return F.when(shaped & ~F.coalesce(lost, F.lit(False)), parsed)
+    return F.when(shaped, F.from_json(trimmed, dtype))
 
 
 def convert(column: Column, source: T.DataType, target: T.DataType, max_length: int | None = None) -> Column:

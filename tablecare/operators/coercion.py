@@ -82,17 +82,19 @@ def coerce(df: DataFrame, spec: TableSpec, carry: list[str] | None = None) -> Co
         *[values.convert(F.col(c.name), kinds[c.name], c.dtype, c.max_length).alias(c.name) for c in columns]
     )
 
+    reasons = {c.name: _reason(F.col(c.name), kinds[c.name], c) for c in columns}
+    reasons = {name: reason for name, reason in reasons.items() if reason is not None}
     problems = [
-        F.struct(F.lit(c.name).alias("column"), F.col(c.name).cast("string").alias("raw"), reason.alias("reason"))
-        for c, reason in ((c, _reason(F.col(c.name), kinds[c.name], c)) for c in columns)
-        if reason is not None
+        F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("raw"), reason.alias("reason"))
+        for name, reason in reasons.items()
     ]
     if not problems:
         return Coerced(clean, df.sparkSession.createDataFrame([], REJECT))
     identity = carry if carry is not None else [k for k in spec.key if k in shared.columns]
     named = F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in identity])) if identity else F.lit(None)
     rejects = (
-        shared.withColumn("_problem", F.explode(F.array(*problems)))
+        shared.where(F.coalesce(*reasons.values()).isNotNull())
+        .withColumn("_problem", F.explode(F.array(*problems)))
         .where(F.col("_problem.reason").isNotNull())
         .select(F.lit(spec.name).alias("table"), named.cast("string").alias("row_key"), "_problem.*")
     )

@@ -1,5 +1,7 @@
 import random
 import re
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,3 +104,17 @@ def test_no_cartesian_product(catalogue, queries):
     for few, most in ((0, 10**6), (0, 0)):
         plan = plan_of(s.candidates(queries, catalogue, "query_id", "term", "id", ["name"], few, most))
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_workers_need_not_have_the_package(tmp_path):
+    """A worker that cannot import the package can still load and run the scoring function."""
+    from pyspark import cloudpickle
+
+    packed = tmp_path / "packed"
+    packed.write_bytes(cloudpickle.dumps((best_overlap, word_trigrams)))
+    code = (
+        f"import pickle; best, grams = pickle.load(open({str(packed)!r}, 'rb'));"
+        "print(best(frozenset(grams('bat')), grams('Batman Begins')))"
+    )
+    done = subprocess.run([sys.executable, "-I", "-c", code], cwd="/", capture_output=True, text=True, timeout=60)
+    assert done.stdout.strip() == "0.75", done.stderr
