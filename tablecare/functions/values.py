@@ -28,7 +28,6 @@ ISO_START = "^[0-9]{4}-[0-9]{1,2}"
 WHOLE_ARRAY = r"^\[\s*((-?[0-9]+|null)\s*(,\s*(-?[0-9]+|null)\s*)*)?\]$"
 
 WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32}
 REAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -54,10 +53,7 @@ def to_bigint(text: Column) -> Column:
 def to_whole(text: Column, target: T.DataType) -> Column:
     """A whole number of any width; one that does not fit is NULL."""
     wide = to_bigint(text)
-    if isinstance(target, T.LongType):
-        return wide
-    top = 1 << (BITS[type(target)] - 1)
-    return F.when(wide.between(-top, top - 1), wide.cast(target))
+    return wide if isinstance(target, T.LongType) else wide.try_cast(target)
 
 
 def to_real(text: Column, target: T.DataType) -> Column:
@@ -67,9 +63,8 @@ def to_real(text: Column, target: T.DataType) -> Column:
 
 def to_boolean(text: Column) -> Column:
     """A whole number is true unless 0; ``true``/``false`` in any case; anything else is NULL."""
-    number = to_bigint(text)
     word = F.lower(F.trim(text))
-    return F.when(number.isNotNull(), number != 0).when(word == "true", True).when(word == "false", False)
+    return F.coalesce(to_bigint(text) != 0, F.when(word.isin("true", "false"), word == "true"))
 
 
 def to_timestamp_utc(text: Column) -> Column:

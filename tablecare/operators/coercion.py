@@ -38,7 +38,8 @@ def _too_wide(raw: Column, source: T.DataType, column: ColumnSpec) -> Column | N
     """Whether a whole number does not fit its narrow column; ``None`` where that cannot happen."""
     if not isinstance(column.dtype, NARROW) or source == column.dtype:
         return None
-    return _lost(raw, source, column) & values.convert(raw, source, T.LongType()).isNotNull()
+    wide = values.convert(raw, source, T.LongType())
+    return wide.isNotNull() & wide.try_cast(column.dtype).isNull()
 
 
 def _absent(raw: Column, source: T.DataType, column: ColumnSpec) -> Column | None:

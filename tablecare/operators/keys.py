@@ -17,6 +17,9 @@ HOT_ROWS = 1_000_000
 
 HOT_SPLITS = 64
 
+GROUP_LIMIT = 1000
+"""The default of ``spark.sql.optimizer.windowGroupLimitThreshold``."""
+
 
 def null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
     """Equality over several columns that lets NULL match NULL."""
@@ -34,21 +37,37 @@ def _sortable(field: T.StructField) -> Column | None:
     return F.col(field.name)
 
 
-def total_order(df: DataFrame, order: list[Column | str]) -> list[Column]:
-    """``order`` followed by every column, so that only equal rows can tie."""
+def total_order(df: DataFrame, order: list[Column | str], given: list[str] = ()) -> list[Column]:
+    """``order`` followed by every other column, so that only equal rows can tie.
+
+    Columns in ``given`` are equal anyway where the order is used.
+    """
     named = [F.col(o) if isinstance(o, str) else o for o in order]
-    used = {o for o in order if isinstance(o, str)}
+    used = {o for o in order if isinstance(o, str)} | set(given)
     return named + [_sortable(f) for f in df.schema.fields if f.name not in used]
 
 
+def _salt(df: DataFrame) -> Column:
+    """A number from 0 that spreads different rows, the same on every run."""
+    return F.pmod(F.xxhash64(*[_sortable(f) for f in df.schema.fields]), F.lit(HOT_SPLITS)).cast("int")
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str], n: int = 1) -> DataFrame:
     """The first ``n`` rows of each key.
 
     Spark keeps at most ``n`` rows per key in each map task before it shuffles (window
-    group limit), so a hot key sends ``n`` rows per task and not its whole group.
+    group limit), so a hot key sends ``n`` rows per task and not its whole group. It does so up to
+    ``GROUP_LIMIT`` rows; a longer list is first cut within salted parts of each group.
     """
-    window = Window.partitionBy(*keys).orderBy(*total_order(df, order))
-    return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= n).drop("_rank")
+    columns = total_order(df, order, keys)
+
+    def cut(rows: DataFrame, parts: list[str]) -> DataFrame:
+        window = Window.partitionBy(*parts).orderBy(*columns)
+        return rows.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= n).drop("_rank")
+
+    if n <= GROUP_LIMIT:
+        return cut(df, keys)
+    return cut(cut(df.withColumn("_part", _salt(df)), [*keys, "_part"]).drop("_part"), keys)
 
 
 def attach_group(
@@ -89,9 +108,8 @@ def attach_values(
     # become a filter, and the salt would spread nothing.
     partner = F.least(F.col("_rows"), F.lit(0)).cast("int")
     cold = stats.select(*[F.col(k).alias(f"_cold_{k}") for k in keys], value.alias("_cold"), partner.alias("_partner"))
-    salt = F.pmod(F.xxhash64(*[_sortable(f) for f in df.schema.fields]), F.lit(HOT_SPLITS)).cast("int") + 1
     marked = df.join(hot, null_safe(df, hot, [(k, f"_hot_{k}") for k in keys]), "left")
-    marked = marked.withColumn("_salt", F.when(F.col("_hot").isNull(), 0).otherwise(salt))
+    marked = marked.withColumn("_salt", F.when(F.col("_hot").isNull(), 0).otherwise(_salt(df) + 1))
     on = null_safe(marked, cold, [(k, f"_cold_{k}") for k in keys]) & (marked["_salt"] == cold["_partner"])
     joined = marked.join(cold, on, "left").withColumn("_value", F.coalesce("_hot", "_cold"))
     return joined.select(*[F.col(c) for c in df.columns], *[F.col(f"_value.{n}").alias(n) for n in names])

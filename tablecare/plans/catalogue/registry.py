@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import wraps
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,12 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query under its function name, with the SQL that gives the same rows."""
 
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        @wraps(function)
+        def in_utc(spark: SparkSession, sf: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return function(spark, sf)
+
+        QUERIES[function.__name__] = in_utc
         if sql:
             ORACLES[function.__name__] = sql
         return function

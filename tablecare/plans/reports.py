@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, Mapping
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablecare.operators.sets import append_all
 from tablecare.session import cut_lineage
 
 FINDING = "check string, severity string, message string, detail string, repairable boolean"
+AT_ONCE = 4
 SEVERITIES = ("ok", "warn", "error")
 
 
@@ -31,15 +34,18 @@ def health_report(spark: SparkSession, checks: Mapping[str, Callable[[], DataFra
     """The findings of all checks. A check that fails becomes one error row; the rest still report.
 
     Each check is run to its end here (its findings go to the shared folder), because a failure
-    would otherwise only show when the report is read.
+    would otherwise only show when the report is read. The checks share the cluster.
     """
-    parts = []
-    for name, check in checks.items():
+
+    def run(name: str) -> DataFrame:
         try:
-            parts.append(cut_lineage(check()))
+            return cut_lineage(checks[name]())
         except Exception as error:  # noqa: BLE001 - the report must survive any check
             row = (name, "error", f"check '{name}' could not run: {error}"[:400], type(error).__name__, False)
-            parts.append(spark.createDataFrame([row], FINDING))
+            return spark.createDataFrame([row], FINDING)
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        parts = list(pool.map(inheritable_thread_target(spark)(run), checks))
     return append_all(parts) if parts else spark.createDataFrame([], FINDING)
 
 

@@ -72,6 +72,13 @@ def test_first_per_key_limits_before_the_shuffle(skewed):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_long_lists_per_key_are_cut_in_parts(skewed, rows, monkeypatch):
+    short = keys.first_per_key(skewed, ["k"], ["v"], 40)
+    monkeypatch.setattr(keys, "GROUP_LIMIT", 5)
+    long = keys.first_per_key(skewed, ["k"], ["v"], 40)
+    assert long.columns == skewed.columns and rows(long) == rows(short)
+
+
 def test_deep_page_equals_shallow_page(skewed, rows, monkeypatch):
     shallow = paging.page(skewed, ["v", "id"], 100, 20)
     assert "TakeOrderedAndProject" in plan_of(shallow)
