@@ -77,13 +77,15 @@ def _event_spec(strict: bool) -> TableSpec:
 
 
 def _shown(df: DataFrame) -> DataFrame:
-    return df.withColumns({"items": F.to_json("items"), "at": F.date_format("at", "yyyy-MM-dd HH:mm:ss")})
+    """The typed columns as text, NULLs kept: client libraries show nullable numbers in different ways."""
+    shown = {"items": F.to_json("items"), "at": F.date_format("at", "yyyy-MM-dd HH:mm:ss")}
+    return df.withColumns({**shown, "code": F.col("code").cast("string"), "flag": F.col("flag").cast("string")})
 
 
 @query(
     RAW
     + f"""
-    SELECT event_id, code, flag, items, label, strftime("at", '%Y-%m-%d %H:%M:%S') AS "at" FROM ({MADE})
+    SELECT event_id, CAST(code AS varchar) AS code, CAST(flag AS varchar) AS flag, items, label, strftime("at", '%Y-%m-%d %H:%M:%S') AS "at" FROM ({MADE})
     WHERE event_id NOT IN (SELECT event_id FROM raw WHERE code = '9999999999')
     """
 )
@@ -95,7 +97,7 @@ def coerce_clean(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     RAW
     + f"""
-    SELECT event_id, code, flag, items, label, strftime("at", '%Y-%m-%d %H:%M:%S') AS "at" FROM ({MADE})
+    SELECT event_id, CAST(code AS varchar) AS code, CAST(flag AS varchar) AS flag, items, label, strftime("at", '%Y-%m-%d %H:%M:%S') AS "at" FROM ({MADE})
     WHERE flag IS NOT NULL AND event_id NOT IN (SELECT event_id FROM raw WHERE code = '9999999999')
     """
 )
@@ -134,7 +136,7 @@ def coerce_rejects(spark: SparkSession, sf: str) -> DataFrame:
         UNION ALL SELECT 'duplicate key', 'o_custkey,o_orderdate', CAST(sum(n - 1) AS bigint) FROM (
             SELECT count(*) AS n FROM orders GROUP BY o_custkey, o_orderdate HAVING count(*) > 1))
     WHERE rows > 0
-    UNION ALL SELECT 'orders', 'missing column', 'o_clerk', NULL
+    UNION ALL SELECT 'orders', 'missing column', 'o_clerk', 0
     """
 )
 def violations(spark: SparkSession, sf: str) -> DataFrame:
@@ -145,7 +147,7 @@ def violations(spark: SparkSession, sf: str) -> DataFrame:
     columns.append(ColumnSpec("o_orderpriority", T.StringType(), nullable=False, max_length=8))
     columns.append(ColumnSpec("o_clerk", T.StringType(), nullable=False))
     spec = TableSpec("orders", tuple(columns), ("o_orderkey",), unique=(("o_custkey", "o_orderdate"),))
-    return c.validate(orders, spec)
+    return c.validate(orders, spec).na.fill(0, ["rows"])
 
 
 @query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")

@@ -165,7 +165,7 @@ def _repaired(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
 def _profiled(name: str, columns: list[tuple[str, str]]) -> str:
     parts = []
     for i, (column, kind) in enumerate(columns):
-        longest = f"CAST(max(length({column})) AS int)" if kind == "string" else "CAST(NULL AS int)"
+        longest = f"CAST(max(length({column})) AS int)" if kind == "string" else "0"
         parts.append(
             f"""SELECT '{name}' AS "table", {i + 1} AS position, '{column}' AS "column", '{kind}' AS type, true AS nullable,
             count(*) - count({column}) AS nulls, count(DISTINCT {column}) AS distinct_values,
@@ -195,7 +195,7 @@ CUSTOMER = [
 @query(_profiled("orders", ORDERS) + " UNION ALL " + _profiled("customer", CUSTOMER))
 def column_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Every column of two tables."""
-    return inventory.inventory(spark, sf, ["orders", "customer"])
+    return inventory.inventory(spark, sf, ["orders", "customer"]).na.fill(0, ["longest"])
 
 
 @query()

@@ -38,17 +38,16 @@ def latest_per_group(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """
     SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey,
-           row_number() OVER w AS position, lead(l_partkey) OVER w AS next_part
+           row_number() OVER w AS position, coalesce(lead(l_partkey) OVER w, -1) AS next_part
     FROM lineitem
     WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_shipdate, l_partkey, l_suppkey)
     """
 )
 def next_in_sequence(spark: SparkSession, sf: str) -> DataFrame:
-    """Each line with its place in the order and the part of the next line."""
+    """Each line with its place in the order and the part of the next line, -1 after the last."""
     lines = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey"])
-    return r.next_in_sequence(
-        lines, ["l_orderkey"], ["l_linenumber", "l_shipdate", "l_partkey", "l_suppkey"], {"next_part": "l_partkey"}
-    )
+    order = ["l_linenumber", "l_shipdate", "l_partkey", "l_suppkey"]
+    return r.next_in_sequence(lines, ["l_orderkey"], order, {"next_part": "l_partkey"}).na.fill(-1, ["next_part"])
 
 
 @query(

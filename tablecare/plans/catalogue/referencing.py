@@ -49,13 +49,14 @@ def dropped_orphans(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-    SELECT CASE WHEN l_returnflag <> 'N' THEN l_orderkey END AS l_orderkey, l_linenumber, l_returnflag FROM lineitem
+    SELECT CASE WHEN l_returnflag <> 'N' THEN l_orderkey ELSE -1 END AS l_orderkey, l_linenumber, l_returnflag FROM lineitem
     WHERE l_returnflag = 'N' OR l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
     """
 )
 def drop_orphans_keep_nulls(spark: SparkSession, sf: str) -> DataFrame:
-    """A third of the lines have no key; they stay."""
-    return r.drop_orphans(_blanked(spark, sf), _final_orders(spark, sf), "l_orderkey", "o_orderkey", nulls="keep")
+    """A third of the lines have no key; they stay (shown as -1)."""
+    kept = r.drop_orphans(_blanked(spark, sf), _final_orders(spark, sf), "l_orderkey", "o_orderkey", nulls="keep")
+    return kept.na.fill(-1, ["l_orderkey"])
 
 
 @query(
@@ -72,17 +73,17 @@ def drop_orphans_drop_nulls(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """
     SELECT c_custkey, c_name, CASE
-        WHEN c_nationkey = 1 THEN NULL
+        WHEN c_nationkey = 1 THEN -1
         WHEN c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey <= 2) THEN 1
         ELSE c_nationkey END AS c_nationkey
     FROM customer
     """
 )
 def repoint_orphans(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers of nations outside regions 0 to 2 move to the placeholder nation 1."""
+    """Customers of nations outside regions 0 to 2 move to the placeholder nation 1; stale ones (NULL) show as -1."""
     customers = read_table(spark, sf, "customer", ["c_custkey", "c_name", "c_nationkey"])
     nations = read_table(spark, sf, "nation").where("n_regionkey <= 2")
-    return r.repoint_orphans(customers, "c_nationkey", "n_nationkey", 1, nations)
+    return r.repoint_orphans(customers, "c_nationkey", "n_nationkey", 1, nations).na.fill(-1, ["c_nationkey"])
 
 
 @query(
