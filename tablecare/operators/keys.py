@@ -59,7 +59,7 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str], n:
     group limit), so a hot key sends ``n`` rows per task and not its whole group. It does so up to
     ``GROUP_LIMIT`` rows; a longer list is first cut within salted parts of each group.
     """
-    columns = total_order(df, order, keys)
+    columns = total_order(df, order, keys) or [F.col(k) for k in keys]
 
     def cut(rows: DataFrame, parts: list[str]) -> DataFrame:
         window = Window.partitionBy(*parts).orderBy(*columns)

@@ -66,6 +66,11 @@ def test_keep_first_never_changes_a_stored_row(frame, rows):
     assert rows(m.merge_keep_first(once, incoming, ["item", "provider"], [])) == rows(once)
 
 
+def test_a_table_of_keys_only(frame, rows):
+    pairs = frame([(1, 2), (1, 2), (3, 4)], "a int, b int")
+    assert rows(m.merge_keep_first(pairs.limit(0), pairs, ["a", "b"], [])) == [(1, 2), (3, 4)]
+
+
 def test_last_wins_replaces_all_columns(frame, rows):
     stored = frame([("a", "db", "123"), ("z", "db", "0")], PROVIDER)
     incoming = frame([("a", "db", None), ("b", "db", "1"), ("b", "db", "2")], PROVIDER)
