@@ -176,8 +176,10 @@ def verdict(cutoffs: list[Cutoff], stratum: Column) -> Column:
     return ~reduce(Column.__or__, rejected, base_failed())
 
 
-def fit_on(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> list[Cutoff]:
-    """Cutoffs from the documents that ``labels`` (doc_id, quality) covers; an id that occurs more often counts each time."""
+def fit_on(measured: DataFrame, labels: DataFrame, stratum: str = "lang") -> list[Cutoff]:
+    """Cutoffs from the measured documents (doc_id, ``stratum``, measures) that ``labels`` (doc_id, quality) covers.
+
+    An id that occurs more often counts each time. Only measures meet the labels in the join, never texts.
+    """
     known = labels.select(F.col("doc_id").alias("doc_id"), F.col("quality").alias("quality"))
-    labelled = docs.select("doc_id", F.col(stratum).alias("stratum"), "text").join(known, "doc_id")
-    return fit_cutoffs(measure(labelled, keep=["stratum", "quality"]).select("row.stratum", "row.quality", *MEASURES), "stratum")
+    return fit_cutoffs(measured.select("doc_id", F.col(stratum).alias("stratum"), *MEASURES).join(known, "doc_id"), "stratum")

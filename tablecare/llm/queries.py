@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablecare.llm import jaccard_join, quality
+from tablecare.session import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,8 +41,7 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Measures and verdict of every document, with cutoffs from the labelled documents per language."""
-    docs = table(spark, sf, "documents")
-    cutoffs = quality.fit_on(docs, table(spark, sf, "labels"))
-    measured = quality.measure(docs, keep=["doc_id", "lang"])
-    shown = [F.col(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-    return measured.select("row.doc_id", *shown, quality.base_failed().alias("base_failed"), quality.verdict(cutoffs, F.col("row.lang")).alias("kept"))
+    measured = cut_lineage(quality.measure(table(spark, sf, "documents"), keep=["doc_id", "lang"]).select("row.*", *quality.MEASURES))
+    cutoffs = quality.fit_on(measured, table(spark, sf, "labels"))
+    shown = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return measured.select("doc_id", *shown, quality.base_failed().alias("base_failed"), quality.verdict(cutoffs, F.col("lang")).alias("kept"))
