@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablecare.llm import jaccard_join, quality
+from tablecare.llm import jaccard_join, line_dedup, quality
 from tablecare.session import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,17 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.document_groups(table(spark, sf, "documents"), jaccard_join.Similarity(shingle=3, percent=90))
 
 
+@query()
+def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Per document: lines, lines removed as later matches, and their numbers."""
+    docs = table(spark, sf, "documents")
+    removed = line_dedup.removed_per_document(docs).withColumnsRenamed({"doc_id": "at_id", "text_hash": "at_hash"})
+    sized = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
+    joined = sized.join(removed, sized["doc_id"].eqNullSafe(removed["at_id"]) & (sized["text_hash"] == removed["at_hash"]), "left")
+    lost = F.coalesce("removed", F.array().cast("array<int>"))
+    return joined.select("doc_id", "n_lines", F.size(lost).cast("long").alias("n_removed"), F.array_join(lost, ",").alias("removed_lines"))
+
+
 @query()
 def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Measures and verdict of every document, with cutoffs from the labelled documents per language."""
