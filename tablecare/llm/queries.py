@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablecare.llm import jaccard_join, line_dedup, quality
+from tablecare.llm import decontamination, jaccard_join, line_dedup, quality
 from tablecare.session import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,24 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query(
+    """
+    WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+    b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
+    ds AS (SELECT DISTINCT doc_id, unnest(list_transform(generate_series(1, greatest(len(w) - 4, 1)), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM d WHERE len(w) > 0),
+    bs AS (SELECT DISTINCT item_id, unnest(list_transform(generate_series(1, greatest(len(w) - 4, 1)), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM b WHERE len(w) > 0),
+    n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id)
+    SELECT doc_id, item_id, n_shingles, count(*) AS n_shared
+    FROM ds JOIN bs USING (s) JOIN n USING (item_id)
+    GROUP BY doc_id, item_id, n_shingles HAVING 100 * count(*) >= 80 * n_shingles
+    """
+)
+def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with each benchmark item of which it holds four fifths of the shingles."""
+    found = decontamination.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "item_id", "n_shingles", "n_shared")
+
+
 @query()
 def op8_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     """Groups of documents whose sets of three-word shingles have a Jaccard similarity of 0.9 or more."""
