@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablecare.llm import decontamination, jaccard_join, line_dedup, quality
+from tablecare.llm import decontamination, jaccard_join, line_dedup, packing, quality
 from tablecare.session import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """The JSON text of a public tokenizer."""
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
+@query()
+def op1_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """A place in a sequence of 4096 tokens for every piece of every document."""
+    return packing.pack(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 @query(
     """
     WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM documents),
