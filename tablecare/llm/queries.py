@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablecare.llm import chat, decontamination, jaccard_join, line_dedup, packing, quality
+from tablecare.llm import chat, decontamination, jaccard_join, line_dedup, packing, quality, wordpiece_counts
 from tablecare.session import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,12 @@ def op4_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return read.select("conv_id", "n_turns", F.sha2("back", 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 
+@query()
+def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Words and greedy word pieces of every document."""
+    return wordpiece_counts.count_tokens(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 @query(
     """
     WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM documents),
