@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablecare.llm import chat, decontamination, jaccard_join, line_dedup, packing, quality, wordpiece_counts
+from tablecare.llm import chat, decontamination, html_content, jaccard_join, line_dedup, packing, quality, secrets, wordpiece_counts
 from tablecare.session import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,12 @@ def op4_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return read.select("conv_id", "n_turns", F.sha2("back", 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 
+@query()
+def op2_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """The main text of every page."""
+    return html_content.extract(table(spark, sf, "pages"), html_content.train(html_content.labelled_pages()))
+
+
 @query()
 def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Words and greedy word pieces of every document."""
@@ -101,6 +107,12 @@ def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "item_id", "n_shingles", "n_shared")
 
 
+@query()
+def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Every string of a document that is taken for a real credential."""
+    return secrets.scan(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 @query()
 def op8_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     """Groups of documents whose sets of three-word shingles have a Jaccard similarity of 0.9 or more."""
