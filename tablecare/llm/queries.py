@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablecare.llm import chat, decontamination, html_content, jaccard_join, line_dedup, packing, quality, secrets, wordpiece_counts
+from tablecare.llm import chat, decontamination, html_content, jaccard_join, line_dedup, packing, quality, secrets, substring_dedup, wordpiece_counts
 from tablecare.session import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,12 @@ def op1_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+@query()
+def op3_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every document without the bytes of repeated strings of 400 bytes."""
+    return substring_dedup.removed_digest(table(spark, sf, "documents"))
+
+
 def _escaped_in_sql(text: str) -> str:
     for letter in ("\\", *chat.OPENERS):
         text = f"replace({text}, '{letter}', '{letter}\\')"
