@@ -4,22 +4,30 @@ A line is the set of its five-word shingles. Two lines match if the Jaccard simi
 if any earlier line (by doc_id, hash of the text, line number) matches it. Lines with fewer words than a shingle stay.
 
 1. Equal sets collapse to their first line, with a count.
-2. Any two sets that match share one of the first ``n - ceil(0.8 n) + 1`` tokens under any common order, so with hashes as the order
-   most lines are seen to share nothing and leave.
-3. What shares a token is compared with the earliest line of its bucket and with the most frequent one, which settles large groups.
-4. The lines that are left open are ordered by rarity: tokens by how many of them have it, rare ones first. Prefix, length and
-   positional filters name the pairs, and every named pair is verified.
+2. Any two sets that match share ``m`` of the first ``n - ceil(0.8 n) + m`` tokens under any common order. With hashes as the order and
+   three shared tokens asked for, most lines are seen to have no partner and leave.
+3. The tokens of the lines that stay are ordered by rarity: by how many of them have it. Tokens of one line only match nothing but
+   take places in the prefix, so lines without a partner leave here.
+4. Lines that share a token of their prefixes are compared with the earliest line of the bucket and with the most frequent one, which
+   settles large groups; what is still open is compared with every earlier line of its buckets that passes the length and
+   positional filters. Every pair is verified.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablecare.session import cut_lineage
 
 SHINGLE = 5
 PERCENT = 80
 
+MATCHES = 3
+"""Shared prefix tokens that the first filter asks for."""
+
+BROADCAST_ROWS = 500_000
+"""Keys of so many counted rows at most are broadcast; more are joined by a shuffle."""
+
 _BLANKS = " \t\x0b\x0c\r"
 _GAP = "[\\x09-\\x0D\\x20]+"
 
@@ -44,7 +52,7 @@ def occurrences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     worded = lines.select("doc_id", "text_hash", "pos", words.alias("words")).where(F.size("words") >= SHINGLE)
     sets = worded.select("doc_id", "text_hash", "pos", tokens.alias("tokens"))
     n = F.size("tokens")
-    prefix = F.transform(F.slice("tokens", F.lit(1), n - _needed(n) + 1), lambda t: F.shiftright(t, 32).cast("int"))
+    prefix = F.transform(F.slice("tokens", F.lit(1), n - _needed(n) + MATCHES), lambda t: F.shiftright(t, 32).cast("int"))
     return sets.select("doc_id", "text_hash", "pos", F.xxhash64("tokens").alias("a"), F.xxhash64("tokens", F.lit(1)).alias("b"), n.alias("n"), prefix.alias("prefix"))
 
 
@@ -61,16 +69,22 @@ def _matches(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.distinct().join(mine, "id").join(theirs, "other").where(both * (100 + PERCENT) >= total * PERCENT).select("id")
 
 
-def _rare_pairs(sets: DataFrame, undecided: DataFrame) -> DataFrame:
-    """(id, other): an undecided line and an earlier one that pass the prefix, length and positional filters by rarity."""
-    spelt = sets.select("id", "n", "first", F.explode("tokens").alias("token"))
-    common = spelt.groupBy("token").count().where("count > 1")
-    ordered = spelt.join(common, "token").groupBy("id").agg(F.first("n").alias("n"), F.first("first").alias("first"), F.sort_array(F.collect_list(F.struct("count", "token"))).alias("rare"))
-    placed = ordered.select("id", "n", "first", (F.col("n") - F.size("rare")).alias("lone"), F.posexplode("rare").alias("at", "entry"))
-    placed = placed.select("id", "n", "first", F.col("entry.token").alias("token"), (F.col("at") + F.col("lone")).alias("at"))
-    placed = placed.where(F.col("at") <= F.col("n") - _needed(F.col("n")))
-    later = placed.join(undecided, "id", "left_semi")
-    earlier = placed.select("token", F.col("id").alias("other"), F.col("n").alias("m"), F.col("first").alias("before"), F.col("at").alias("there"))
+def _by_rarity(sets: DataFrame) -> DataFrame:
+    """(token, id, n, first, copies, at): the shared tokens in the prefix of each set, with their places, rare tokens first."""
+    spelt = sets.select("id.a", F.explode("tokens").alias("token"))
+    known = F.count("*").over(Window.partitionBy("token"))
+    common = spelt.withColumn("known", known).where("known > 1")
+    lists = common.groupBy("a").agg(F.sort_array(F.collect_list(F.struct("known", "token"))).alias("rare"))
+    ordered = lists.join(sets.select("id.a", "id", "n", "first", "copies"), "a").withColumn("lone", F.col("n") - F.size("rare"))
+    placed = ordered.where(F.col("lone") <= F.col("n") - _needed(F.col("n"))).select("id", "n", "first", "copies", "lone", F.posexplode("rare").alias("rank", "entry"))
+    placed = placed.select(F.col("entry.token").alias("token"), "id", "n", "first", "copies", (F.col("rank") + F.col("lone")).alias("at"))
+    return placed.where(F.col("at") <= F.col("n") - _needed(F.col("n")))
+
+
+def _open_pairs(members: DataFrame, undecided: DataFrame) -> DataFrame:
+    """(id, other): an undecided line and an earlier one of its buckets that pass the length and positional filters."""
+    later = members.join(undecided, "id", "left_semi")
+    earlier = members.select("token", F.col("id").alias("other"), F.col("n").alias("m"), F.col("first").alias("before"), F.col("at").alias("there"))
     can_share = F.least(F.col("n") - F.col("at"), F.col("m") - F.col("there"))
     near = (F.col("before") < F.col("first")) & _fits("n", "m") & (can_share * (100 + PERCENT) >= (F.col("n") + F.col("m")) * PERCENT)
     return later.join(earlier, "token").where(near).select("id", "other")
@@ -84,14 +98,16 @@ def later_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """
     lines = cut_lineage(occurrences(docs, doc_id, text))
     place = F.struct("doc_id", "text_hash", "pos")
-    filed = lines.groupBy("a", "b").agg(F.first("prefix").alias("prefix")).select(F.explode("prefix").alias("token"), "a").repartition("token")
-    shared = filed.groupBy("token").agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low <> high").select("token")
-    filed = cut_lineage(filed.join(shared, "token", "left_semi"))
+    filed = lines.where(F.col("n") > MATCHES).groupBy("a", "b").agg(F.first("prefix").alias("prefix")).select("a", F.explode("prefix").alias("token"))
+    bucket = Window.partitionBy("token")
+    shared = filed.select("a", F.min("a").over(bucket).alias("low"), F.max("a").over(bucket).alias("high")).where("low <> high")
+    partnered = shared.groupBy("a").count().where(F.col("count") >= MATCHES).select("a")
 
     distinct = lines.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("copies"), F.first("n").alias("n"))
-    active = cut_lineage(distinct.join(filed.select("a").distinct(), "a", "left_semi"))
+    active = cut_lineage(distinct.join(partnered, "a", "left_semi"))
     sets = cut_lineage(_spelt(docs, active, doc_id, text))
-    members = cut_lineage(filed.join(active, "a").select("token", F.struct("a", "b").alias("id"), "n", "first", "copies"))
+    members = cut_lineage(_by_rarity(sets))
+    sets = cut_lineage(sets.join(members.select("id").distinct(), "id", "left_semi"))
 
     gone = None
     for best in (F.min(F.struct("first", "id", "n")), F.max(F.struct("copies", "first", "id", "n"))):
@@ -101,11 +117,9 @@ def later_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         found = _matches(met.where((F.col("before") < F.col("first")) & _fits("n", "m")).select("id", "other"), sets)
         gone = cut_lineage((found if gone is None else gone.unionAll(found)).distinct())
 
-    undecided = members.join(gone, "id", "left_anti")
     earliest = members.groupBy("token").agg(F.min("first").alias("earliest"), F.count("*").alias("size")).where("size > 2")
-    waiting = cut_lineage(undecided.join(earliest, "token").where("first <> earliest").select("token", "id"))
-    open_ = sets.join(members.join(waiting.select("token").distinct(), "token", "left_semi").select("id").distinct(), "id", "left_semi")
-    gone = gone.unionAll(_matches(_rare_pairs(cut_lineage(open_), waiting.select("id").distinct()), sets)).distinct()
+    waiting = members.join(gone, "id", "left_anti").join(earliest, "token").where("first <> earliest").select("id").distinct()
+    gone = gone.unionAll(_matches(_open_pairs(members, waiting), sets)).distinct()
 
     judged = distinct.select("a", "b", "first", "copies").join(gone.select("id.a", "id.b", F.lit(True).alias("gone")), ["a", "b"], "left")
     judged = judged.where("copies > 1 OR gone").select("a", "b", "first", "gone")
@@ -115,12 +129,13 @@ def later_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
 def _spelt(docs: DataFrame, active: DataFrame, doc_id: str, text: str) -> DataFrame:
     """The whole sets of the active lines, read again from the documents where they first stand."""
-    spots = active.groupBy(F.col("first.doc_id").alias("at_id"), F.col("first.text_hash").alias("at_hash")).agg(F.collect_list(F.struct("a", "b", "n", "first")).alias("spots"))
+    spots = active.groupBy(F.col("first.doc_id").alias("at_id"), F.col("first.text_hash").alias("at_hash")).agg(F.collect_list(F.struct("a", "b", "n", "first", "copies")).alias("spots"))
     own = docs.select(docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("text_hash"), docs[text].alias("text"))
+    spots = F.broadcast(spots) if active.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else spots
     found = own.join(spots, own["doc_id"].eqNullSafe(spots["at_id"]) & (own["text_hash"] == spots["at_hash"]))
     words, tokens = _shingles(F.col("line"))
     lines = found.select(F.split("text", "\n").alias("lines"), F.explode("spots").alias("spot")).select("spot", F.get("lines", F.col("spot.first.pos")).alias("line"))
-    return lines.select("spot", words.alias("words")).select(F.struct("spot.a", "spot.b").alias("id"), "spot.n", "spot.first", tokens.alias("tokens"))
+    return lines.select("spot", words.alias("words")).select(F.struct("spot.a", "spot.b").alias("id"), "spot.n", "spot.first", "spot.copies", tokens.alias("tokens"))
 
 
 def removed_per_document(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
