@@ -104,7 +104,7 @@ def _fitted(histogram: dict[int, int], capacity: int, classes: int) -> tuple[lis
     stock: dict[int, list[list[int]]] = {}
     for n in sorted(left):
         stock.setdefault(-(-n // width), []).append([n, left[n]])
-    ways = patterns(-(-capacity // width)) if stock else []
+    ways = patterns(capacity // width) if stock else []
     rows = -(-capacity // width)
     a, b = np.zeros((rows, len(ways))), np.zeros(rows)
     for j, way in enumerate(ways):
