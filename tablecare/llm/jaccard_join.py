@@ -5,6 +5,10 @@ a document whose first tokens are frequent takes a longer prefix and asks for as
 Equal sets are one class from the start. Inside a bucket of a shared token, members are first compared with one pivot; only
 members that no chain of links joins yet are compared with each other, so a large group of near copies costs links in proportion
 to its size, and no link between different groups is lost.
+
+The order of tokens is the same for all documents. At first those with a small hash come first, by the exact number of distinct sets
+that have them, and the others follow by hash; so only a fixed share of all tokens needs counting, and most documents are seen to
+have no partner. The tokens of those that stay are then all counted and ordered by rarity.
 """
 
 from __future__ import annotations
@@ -14,31 +18,40 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablecare.llm.components import components
 from tablecare.llm.words import Words, mix, shingle_sets, slices
 from tablecare.session import cut_lineage
 
-SKETCH_BITS = 18
-"""The frequency sketch has 2**18 counters whatever the size of the corpus; every shingle of every document is counted."""
-
-LONGEST_MATCH = 4
+LONGEST_MATCH = 8
 """The most shared prefix tokens that a document may ask for."""
 
-CANDIDATE_COST = 8.0
-"""Cost of a candidate against that of a prefix token, in units of the mean counter."""
+CANDIDATE_COST = 4.0
+"""Cost of a candidate against that of a prefix token."""
 
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
 """Rounds of comparing bucket members with a pivot before the rest is compared in full."""
 
+BROADCAST_ROWS = 500_000
+"""Keys of so many counted rows at most are broadcast; more are joined by a shuffle."""
+
 
 @dataclass(frozen=True)
 class Similarity:
-    """Linked if 100 * intersection >= percent * union of the distinct runs of ``shingle`` words."""
+    """Linked if 100 * intersection >= percent * union of the distinct runs of ``shingle`` words.
+
+    ``spread`` is how many prefixes' worth of tokens are counted; more helps where shingles often repeat by chance.
+    """
 
     shingle: int = 5
     percent: int = 80
+    spread: float = 1.3
+
+    @property
+    def counted(self) -> int:
+        """Tokens below this are counted; tokens have 63 bits."""
+        return int(min(1.0, self.spread * (100 - self.percent) / 100) * (2**63 - 1))
 
 
 def _sets(batch_texts: pa.Array, shingle: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -47,76 +60,109 @@ def _sets(batch_texts: pa.Array, shingle: int) -> Iterator[tuple[int, list[np.nd
         yield first, shingle_sets(words, words.hashes(lower=True), shingle)
 
 
-def frequency_sketch(docs: DataFrame, text: str, shingle: int) -> np.ndarray:
-    """How many documents have a shingle in each of the hashed counters, as steps of a binary logarithm over the mean."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SKETCH_BITS, np.int64)
-        for batch in batches:
-            for _, sets in _sets(batch.column(0), shingle):
-                total += np.bincount((np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["counter", "n"])
-
-    counted = docs.select(docs[text].alias("text")).mapInArrow(count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros(1 << SKETCH_BITS, np.float64)
-    total[counted["counter"].to_numpy()] = counted["n"].to_numpy()
-    return np.clip(np.floor(np.log2(np.maximum(total, 1) / max(total.mean(), 1))), 0, 40).astype(np.uint8)
-
-
-def prefix_of(tokens: np.ndarray, steps: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
-    """The prefix of a set under the order (frequency step, hash) and the number of tokens that it must share."""
-    n = len(tokens)
-    step = steps[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-    order = np.lexsort((tokens, step))
-    tokens, cost = tokens[order], np.cumsum(np.exp2(step[order].astype(np.float64)) - 1)
-    least = (percent * n + 99) // 100
-    best, length, match = np.inf, 0, 1
-    for m in range(1, min(LONGEST_MATCH, least) + 1):
-        size = n - least + m
-        price = size + CANDIDATE_COST * cost[size - 1] / (m * m)
-        if price < best:
-            best, length, match = price, size, m
-    return tokens[:length], match
-
-
 def signatures(docs: DataFrame, like: Similarity, doc_id: str, text: str) -> DataFrame:
-    """Per document: id, hash of the text, number of shingles, a 128-bit name of the set (a, b), its prefix and match count."""
-    steps = frequency_sketch(docs, text, like.shingle)
-    schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, text_hash long, n int, a long, b long, prefix array<long>, match int"
+    """Per document: id, hash of the text, number of shingles, how many of them are counted, a 128-bit name of the set (a, b)."""
+    schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, text_hash long, n long, counted long, a long, b long"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, sets in _sets(batch.column(2), like.shingle):
-                names, prefixes, matches = np.zeros((len(sets), 2), np.uint64), [], []
+                about = np.zeros((4, len(sets)), np.uint64)
                 for i, tokens in enumerate(sets):
-                    names[i] = mix(tokens).sum(dtype=np.uint64), mix(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
-                    prefix, match = prefix_of(tokens, steps, like.percent) if len(tokens) else (tokens, 1)
-                    prefixes.append(prefix.view(np.int64))
-                    matches.append(match)
-                ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
-                names = names.view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first, len(sets)),
-                        batch.column(1).slice(first, len(sets)),
-                        pa.array(np.array([len(s) for s in sets], np.int32)),
-                        pa.array(names[:, 0]),
-                        pa.array(names[:, 1]),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes))),
-                        pa.array(np.array(matches, np.int32)),
-                    ],
-                    ["doc_id", "text_hash", "n", "a", "b", "prefix", "match"],
-                )
+                    below = np.searchsorted(_filed(tokens), like.counted)
+                    about[:, i] = len(tokens), below, mix(tokens).sum(dtype=np.uint64), mix(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
+                columns = [pa.array(c) for c in about.view(np.int64)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), batch.column(1).slice(first, len(sets)), *columns], ["doc_id", "text_hash", "n", "counted", "a", "b"])
 
     return docs.select(docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("text_hash"), docs[text].alias("text")).mapInArrow(sign, schema)
 
 
-def _full_sets(docs: DataFrame, wanted: DataFrame, shingle: int, doc_id: str, text: str) -> DataFrame:
-    """(a, b, tokens) of the wanted sets, each from one document that has it."""
+def _filed(tokens: np.ndarray) -> np.ndarray:
+    """Tokens with 63 bits, as Spark orders them."""
+    return (tokens >> np.uint64(1)).view(np.int64)
+
+
+def _texts_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(a, b, text) of the wanted sets (a, b, doc_id, text_hash)."""
     texts = docs.select(docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("text_hash"), docs[text].alias("text"))
     same = texts["doc_id"].eqNullSafe(wanted["doc_id"]) & (texts["text_hash"] == wanted["text_hash"])
-    chosen = texts.join(wanted, same).select("a", "b", "text")
+    wanted = F.broadcast(wanted) if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else wanted
+    return texts.join(wanted, same).select("a", "b", "text")
+
+
+def _file(texts: DataFrame, like: Similarity) -> DataFrame:
+    """(a, token, at): the tokens of each set that its prefix may take, with their places in the order of the hash.
+
+    These are the counted ones, or as many as the longest prefix has if that is more.
+    """
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column(0).to_numpy()
+            for first, sets in _sets(batch.column(1), like.shingle):
+                filed = []
+                for tokens in map(_filed, sets):
+                    longest = len(tokens) - (like.percent * len(tokens) + 99) // 100 + LONGEST_MATCH
+                    filed.append(tokens[: max(longest, int(np.searchsorted(tokens, like.counted)))])
+                sizes = [len(f) for f in filed]
+                places = np.concatenate([np.arange(n) for n in sizes])
+                owner = np.repeat(names[first : first + len(sets)], sizes)
+                yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(np.concatenate(filed)), pa.array(places)], ["a", "token", "at"])
+
+    return texts.select("a", "text").mapInArrow(spell, "a long, token long, at long")
+
+
+def prefix_of(n: int, counted: int, shared: tuple[np.ndarray, np.ndarray, np.ndarray], like: Similarity) -> tuple[np.ndarray, int]:
+    """The shared tokens in the prefix of a set of ``n``, and how many of them a partner must share.
+
+    ``shared`` has the tokens that other sets have too, their counts and their places by hash; ``counted`` of the set's tokens are
+    counted ones. The other tokens match nothing, but those that are rarer take places in the prefix.
+    """
+    tokens, counts, places = shared
+    outside = tokens >= like.counted
+    order = np.lexsort((tokens, np.where(outside, 0, counts), outside))
+    tokens, counts, inside = tokens[order], counts[order], int((~outside).sum())
+    at = np.where(outside[order], places[order], np.arange(len(tokens)) + counted - inside)
+    least = (like.percent * n + 99) // 100
+    best, length, match = np.inf, 0, 1
+    for m in range(1, min(LONGEST_MATCH, least) + 1):
+        size = int(np.searchsorted(at, n - least + m))
+        price = size + CANDIDATE_COST * float((counts[:size] - 1).sum()) / (m * m)
+        if price < best:
+            best, length, match = price, size, m
+    return tokens[:length], match
+
+
+def _prefixes(filed: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
+    """(token, a, n, match, lone): the shared tokens in the adaptive prefix of every set that may have a partner.
+
+    A set whose prefix holds only tokens of its own leaves here; ``lone`` counts these among the counted tokens.
+    """
+    bucket = Window.partitionBy("token")
+    known = filed.withColumns({"count": F.count("*").over(bucket), "low": F.min("a").over(bucket), "high": F.max("a").over(bucket)})
+    lists = known.where("low <> high").groupBy("a").agg(F.collect_set(F.struct("token", "count", "at")).alias("shared"))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            entries = batch.column("shared")
+            token, count, place = (c.to_numpy(zero_copy_only=False) for c in entries.flatten().flatten())
+            ends = np.cumsum([0, *np.diff(entries.offsets.to_numpy())])
+            a, n, counted = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "n", "counted"))
+            rows = [(np.zeros(0, np.int64), np.zeros((0, 4), np.int64))]
+            for i in range(len(a)):
+                part = slice(ends[i], ends[i + 1])
+                prefix, match = prefix_of(int(n[i]), int(counted[i]), (token[part], count[part], place[part]), like)
+                if len(prefix):
+                    lone = counted[i] - (token[part] < like.counted).sum()
+                    rows.append((prefix, np.tile(np.array([a[i], n[i], match, lone], np.int64), (len(prefix), 1))))
+            about = np.concatenate([r[1] for r in rows])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([r[0] for r in rows])), *[pa.array(about[:, c].copy()) for c in range(4)]], ["token", "a", "n", "match", "lone"])
+
+    return lists.join(sets, "a").select("a", "n", "counted", "shared").mapInArrow(choose, "token long, a long, n long, match long, lone long")
+
+
+def _full_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """(a, b, tokens) of the sets of some texts."""
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,7 +171,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, shingle: int, doc_id: str, te
                 tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), batch.column(1).slice(first, len(sets)), tokens], ["a", "b", "tokens"])
 
-    return chosen.mapInArrow(spell, "a long, b long, tokens array<long>").dropDuplicates(["a", "b"])
+    return texts.mapInArrow(spell, "a long, b long, tokens array<long>")
 
 
 def _verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -137,9 +183,15 @@ def _verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "x").join(right, "y").where(both * (100 + percent) >= total * percent).select("x", "y")
 
 
-def _fits(x: str, y: str, percent: int):
-    """Length filter."""
-    return (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
+def _overlap(percent: int) -> Column:
+    """The fewest tokens that sets of ``xn`` and ``n`` share if they are similar enough."""
+    return F.ceil((F.col("xn") + F.col("n")) * percent / (100 + percent) - 1e-9)
+
+
+def _fits(percent: int) -> Column:
+    """Length filter, and each set has enough tokens that others have too."""
+    enough = (F.col("xn") - F.col("xlone") >= _overlap(percent)) & (F.col("n") - F.col("lone") >= _overlap(percent))
+    return (F.col("xn") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("xn") * percent) & enough
 
 
 def link_classes(docs: DataFrame, like: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -149,21 +201,28 @@ def link_classes(docs: DataFrame, like: Similarity = Similarity(), doc_id: str =
     links. Repeated rows and equal texts have one set. A null id is a document like any other.
     """
     signed = cut_lineage(signatures(docs, like, doc_id, text))
-    name = F.struct("a", "b")
-    sets = signed.where("n > 0").groupBy("a", "b").agg(F.min(F.struct("doc_id", "text_hash")).alias("doc"), F.first("n").alias("n"), F.first("match").alias("match"), F.first("prefix").alias("prefix"))
-    filed = sets.select("a", "b", "n", "match", F.explode("prefix").alias("token"))
-    shared = filed.groupBy("token").count().where("count > 1").select("token")
-    filed = cut_lineage(filed.join(shared, "token", "left_semi").select("token", name.alias("id"), "n", "match"))
-    members = filed.select("id.a", "id.b").distinct()
-    wanted = sets.join(members, ["a", "b"], "left_semi").select("a", "b", "doc.doc_id", "doc.text_hash")
-    full = cut_lineage(_full_sets(docs, wanted, like.shingle, doc_id, text))
+    one = F.min(F.struct("doc_id", "text_hash")).alias("doc"), F.first("n").alias("n"), F.first("counted").alias("counted"), F.count("*").alias("copies")
+    sets = signed.where("n > 0").groupBy("a", "b").agg(*one).select("a", "b", "n", "counted", "copies", "doc.doc_id", "doc.text_hash")
+    sets = cut_lineage(sets)
+    spelt = _file(_texts_of(docs, sets.select("a", "b", "doc_id", "text_hash"), doc_id, text), like)
+    partnered = _in_company(cut_lineage(_prefixes(spelt, sets.select("a", "n", "counted"), like))).select("a").distinct()
+    wanted = cut_lineage(sets.select("a", "b", "copies", "doc_id", "text_hash").join(partnered, "a", "left_semi"))
+    full = cut_lineage(_full_sets(_texts_of(docs, wanted, doc_id, text), like.shingle))
+
+    every = Similarity(like.shingle, like.percent, spread=101 / (100 - like.percent))
+    spelt = full.select("a", F.explode("tokens").alias("token")).select("a", F.shiftrightunsigned("token", 1).alias("token"), F.lit(0).cast("long").alias("at"))
+    meta = full.select("a", "tokens").dropDuplicates(["a"]).select("a", F.size("tokens").cast("long").alias("n")).withColumn("counted", F.col("n"))
+    filed = _in_company(cut_lineage(_prefixes(spelt, meta, every))).join(wanted.select("a", "b", "copies"), "a")
+    filed = cut_lineage(filed.select("token", F.struct("a", "b").alias("id"), "n", "match", "lone", "copies"))
+    full = cut_lineage(full.join(filed.select("id.a", "id.b").distinct(), ["a", "b"], "left_semi").dropDuplicates(["a", "b"]))
 
     links, open_ = None, filed.withColumn("label", F.col("id"))
     for turn in range(PIVOT_ROUNDS):
-        rank = F.struct(F.xxhash64("id", F.lit(turn)).alias("rank"), F.col("id").alias("id"), F.col("n").alias("n"), F.col("label").alias("label"))
+        rank = F.struct(*([] if turn else [-F.col("copies")]), F.xxhash64("id", F.lit(turn)).alias("rank"), "id", "n", "lone", "label")
         pivots = open_.groupBy("token").agg(F.min(rank).alias("pivot"))
-        pairs = open_.join(pivots, "token").where(F.col("label") != F.col("pivot.label")).select(F.col("pivot.id").alias("x"), F.col("pivot.n").alias("xn"), F.col("id").alias("y"), "n")
-        found = _verified(pairs.where(_fits("xn", "n", like.percent)).select("x", "y").distinct(), full, like.percent)
+        pairs = open_.join(pivots, "token").where(F.col("label") != F.col("pivot.label"))
+        pairs = pairs.select(F.col("pivot.id").alias("x"), F.col("pivot.n").alias("xn"), F.col("pivot.lone").alias("xlone"), F.col("id").alias("y"), "n", "lone")
+        found = _verified(pairs.where(_fits(like.percent)).select("x", "y").distinct(), full, like.percent)
         links = cut_lineage(found if links is None else links.unionAll(found))
         open_ = _still_open(filed, links)
         if open_.limit(1).count() == 0:
@@ -172,6 +231,12 @@ def link_classes(docs: DataFrame, like: Similarity = Similarity(), doc_id: str =
     return signed, cut_lineage(links.unionAll(rest))
 
 
+def _in_company(filed: DataFrame) -> DataFrame:
+    """The rows whose token more than one set has."""
+    shared = filed.groupBy("token").count().where("count > 1").select("token")
+    return filed.join(shared, "token", "left_semi")
+
+
 def _still_open(filed: DataFrame, links: DataFrame) -> DataFrame:
     """Bucket rows whose bucket holds members of different groups, with the group as ``label``."""
     groups = components(links)
@@ -181,16 +246,19 @@ def _still_open(filed: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different groups that share as many prefix tokens as both ask for.
+    """Pairs of different groups that share enough prefix tokens.
 
-    In a bucket the members of its largest group meet only the members of other groups.
+    In a bucket the members of its largest group meet only the members of other groups. A pair shares as many prefix tokens as
+    both ask for; and of the set whose prefix ends first, no more tokens may be missing than the overlap that both sizes need allows.
     """
     largest = rows.groupBy("token", "label").count().groupBy("token").agg(F.max(F.struct("count", "label")).alias("top")).select("token", F.col("top.label").alias("main"))
     rows = rows.join(largest, "token")
-    few = rows.where("label <> main").select("token", F.col("id").alias("x"), F.col("n").alias("xn"), F.col("match").alias("xm"), F.col("label").alias("xl"))
-    met = few.join(rows, "token").where((F.col("xl") != F.col("label")) & ((F.col("label") == F.col("main")) | (F.col("x") < F.col("id"))) & _fits("xn", "n", percent))
+    few = rows.where("label <> main").select("token", F.col("id").alias("x"), F.col("n").alias("xn"), F.col("match").alias("xm"), F.col("lone").alias("xlone"), F.col("label").alias("xl"))
+    met = few.join(rows, "token").where((F.col("xl") != F.col("label")) & ((F.col("label") == F.col("main")) | (F.col("x") < F.col("id"))) & _fits(percent))
+    spare = lambda n, match: F.col(match) - F.ceil(F.col(n) * percent / 100 - 1e-9) + _overlap(percent)
+    need = F.greatest(F.least("xm", "match"), F.least(spare("xn", "xm"), spare("n", "match")))
     pair = F.least("x", "id").alias("x"), F.greatest("x", "id").alias("y")
-    return met.select(*pair, F.least("xm", "match").alias("need")).groupBy("x", "y").agg(F.count("*").alias("met"), F.first("need").alias("need")).where("met >= need").select("x", "y")
+    return met.select(*pair, need.alias("need")).groupBy("x", "y").agg(F.count("*").alias("met"), F.first("need").alias("need")).where("met >= need").select("x", "y")
 
 
 def document_groups(docs: DataFrame, like: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -199,10 +267,30 @@ def document_groups(docs: DataFrame, like: Similarity = Similarity(), doc_id: st
     Documents without words form groups of their own; a group of null ids only has a null component.
     """
     signed, links = link_classes(docs, like, doc_id, text)
-    groups = components(links).select(F.col("id.a").alias("a"), F.col("id.b").alias("b"), F.col("label").alias("group"))
     lowest = signed.where("n > 0").groupBy("a", "b").agg(F.min("doc_id").alias("own"))
-    named = lowest.join(groups, ["a", "b"], "left").withColumn("group", F.coalesce("group", F.struct("a", "b")))
+    named = _grouped(lowest, links)
     least = named.groupBy("group").agg(F.min("own").alias("component_id"))
     labels = cut_lineage(named.join(least, "group").select("a", "b", "component_id"))
     full = signed.where("n > 0").join(labels, ["a", "b"]).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
     return full.unionAll(signed.where("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def _grouped(sets: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows of sets (a, b) with ``group``, the name that stands for all sets that links join."""
+    groups = components(links).select(F.col("id.a").alias("a"), F.col("id.b").alias("b"), F.col("label").alias("group"))
+    return sets.join(groups, ["a", "b"], "left").withColumn("group", F.coalesce("group", F.struct("a", "b")))
+
+
+def keep_one(docs: DataFrame, like: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each group, that with the smallest id (a null first, then by hash of the text), with all its columns.
+
+    Documents without words are in no group and all stay. Of rows that repeat id and text one stays.
+    """
+    signed, links = link_classes(docs, like, doc_id, text)
+    key = F.struct("doc_id", "text_hash")
+    first = signed.where("n > 0").groupBy("a", "b").agg(F.min(key).alias("key"))
+    winners = _grouped(first, links).groupBy("group").agg(F.min("key").alias("key")).select("key", F.lit(True).alias("worded"))
+    stay = winners.unionAll(signed.where("n = 0").select(key.alias("key"), F.lit(False).alias("worded")).distinct())
+    rows = docs.select(F.struct(docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("text_hash")).alias("key"), F.struct("*").alias("row"))
+    ranked = rows.join(cut_lineage(stay), "key").withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("worded")))
+    return ranked.where("rank = 1 OR NOT worded").select(*[F.col("row")[c].alias(c) for c in docs.columns])
