@@ -140,20 +140,16 @@ def uuid_bounds(df: DataFrame, key: str, group: list[str] = ()) -> DataFrame:
 
 
 def status_rollup(df: DataFrame, area: str, outcome: str, failed: str, skipped: str) -> DataFrame:
-    """Per area the total, failures and skips, and one label."""
+    """Per area the numbers of checks, passed, failed and skipped, and a state: failed, skipped, partial or passed."""
     grouped = df.groupBy(area).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col(outcome) == failed).alias("failed"),
         F.count_if(F.col(outcome) == skipped).alias("skipped"),
     )
-    passed = F.col("total") - F.col("skipped")
-    state = (
-        F.when(F.col("failed") > 0, F.format_string("%d failed", F.col("failed")))
-        .when(F.col("skipped") == F.col("total"), F.lit("skipped"))
-        .when(F.col("skipped") > 0, F.format_string("%d/%d (rest skipped)", passed, F.col("total")))
-        .otherwise(F.format_string("%d/%d", F.col("total"), F.col("total")))
-    )
-    return grouped.withColumn("state", state)
+    counted = grouped.withColumn("passed", F.col("total") - F.col("failed") - F.col("skipped"))
+    partial = F.when(F.col("skipped") > 0, "partial").otherwise("passed")
+    none = F.when(F.col("passed") == 0, "skipped").otherwise(partial)
+    return counted.withColumn("state", F.when(F.col("failed") > 0, "failed").otherwise(none))
 
 
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -58,16 +58,25 @@ def merge_full_row(
     A patch with only some columns could not become a row, so all of ``required`` (every stored
     column by default) must be there.
     """
-    absent = [c for c in (required or stored.columns) if c not in incoming.columns]
+    there = {c.lower() for c in incoming.columns}
+    absent = [c for c in (required or stored.columns) if c.lower() not in there]
     if absent:
         raise ValueError(f"a full-row merge needs the columns {', '.join(absent)}")
     return merge_last_wins(stored, incoming, keys, order)
 
 
 def update_matched(stored: DataFrame, patch: DataFrame, keys: list[str], order: list[Column | str] = ()) -> DataFrame:
-    """Change matched rows only; a NULL in the patch lands as NULL. ``order`` picks one patch per key."""
-    changes = [c for c in patch.columns if c not in keys]
-    latest = one_per_key(patch, keys, list(order))
+    """Change matched rows only; a NULL in the patch lands as NULL. ``order`` picks one patch per key.
+
+    Names match without case; a patch column that is not stored is an error.
+    """
+    own = {c.lower(): c for c in stored.columns}
+    unknown = [c for c in patch.columns if c.lower() not in own]
+    if unknown:
+        raise ValueError(f"not stored: {', '.join(unknown)}")
+    given = {k.lower() for k in keys}
+    changes = [own[c.lower()] for c in patch.columns if c.lower() not in given]
+    latest = one_per_key(patch, keys, list(order)).toDF(*[own[c.lower()] for c in patch.columns])
     latest = latest.select(*keys, F.struct(*changes).alias("_patch"), F.lit(True).alias("_hit"))
     joined = stored.join(latest, keys, "left")
     return joined.select(

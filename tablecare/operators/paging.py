@@ -18,9 +18,9 @@ def clamp(value: int, low: int, high: int) -> int:
     return max(low, min(high, value))
 
 
-def top(df: DataFrame, order: list[Column | str], limit: int) -> DataFrame:
-    """The first rows under a total order, 1 to 50 of them (a per-task top, then a merge)."""
-    return df.orderBy(*total_order(df, order)).limit(clamp(limit, 1, TOP_LIMIT))
+def top(df: DataFrame, order: list[Column | str], limit: int = TOP_LIMIT) -> DataFrame:
+    """The first ``limit`` rows under a total order, at least one (a per-task top, then a merge)."""
+    return df.orderBy(*total_order(df, order)).limit(max(1, limit))
 
 
 def worst(df: DataFrame, order: list[Column | str], cap: int) -> DataFrame:
@@ -49,8 +49,10 @@ class Preview(NamedTuple):
 
 
 def preview(df: DataFrame, limit: int = 50) -> Preview:
-    """At most ``limit`` rows (never over 200), with a flag that more exist."""
-    limit = clamp(limit, 1, PREVIEW_LIMIT)
+    """At most ``limit`` rows, with a flag that more exist; the driver holds them, so over 200 are refused."""
+    if limit > PREVIEW_LIMIT:
+        raise ValueError(f"a preview has at most {PREVIEW_LIMIT} rows")
+    limit = max(1, limit)
     rows = df.limit(limit + 1).collect()
     return Preview(rows[:limit], len(rows) > limit)
 

@@ -56,20 +56,23 @@ def retention_plan(
     if keep <= 0:
         return old
     newest = first_per_key(own.select(*group, ts, row_id), group, [F.col(ts).desc(), F.col(row_id)], keep)
-    return old.join(newest.select(row_id), row_id, "left_anti").select(*df.columns)
+    newest = newest.select(*[F.col(c).alias(f"_kept_{c}") for c in [*group, row_id]])
+    same = null_safe(old, newest, [(c, f"_kept_{c}") for c in [*group, row_id]])
+    return old.join(newest, same, "left_anti").select(*df.columns)
 
 
 def first_occurrence(df: DataFrame, keys: list[str], order: list[str], name: str = "is_first") -> DataFrame:
     """Each row with a flag: the first of its key in ``order``, or a repeat.
 
-    ``order`` must tell the rows of a key apart. The join is on key and order together, so the
-    rows of a hot key spread over the tasks.
+    Rows with equal ``order`` are told apart by a hash of the row; only rows that are equal throughout share the flag. The
+    join is on key, order and hash together, so the rows of a hot key spread over the tasks.
     """
-    columns = [*keys, *order]
-    firsts = first_per_key(df.select(*columns), keys, list(order))
-    firsts = firsts.select(*[F.col(c).alias(f"_first_{c}") for c in columns], F.lit(True).alias(name))
-    joined = df.join(firsts, null_safe(df, firsts, [(c, f"_first_{c}") for c in columns]), "left")
-    return joined.select(*df.columns, F.coalesce(name, F.lit(False)).alias(name))
+    marked = df.withColumn("_print", F.xxhash64(*df.columns))
+    columns = [*keys, *order, "_print"]
+    firsts = first_per_key(marked.select(*columns), keys, [*order, "_print"])
+    firsts = firsts.select(*[F.col(c).alias(f"_first_{c}") for c in columns], F.lit(True).alias("_is"))
+    joined = marked.join(firsts, null_safe(marked, firsts, [(c, f"_first_{c}") for c in columns]), "left")
+    return joined.select(*df.columns, F.coalesce("_is", F.lit(False)).alias(name))
 
 
 def next_in_sequence(

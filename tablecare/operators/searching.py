@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablecare.functions.similarity import word_similarity
 from tablecare.functions.text import contains_in_any
-from tablecare.operators.paging import TOP_LIMIT, clamp
 
 GRAM = 3
 FEW_TERMS = 512
@@ -47,7 +46,7 @@ def _all_grams(columns: list[str], sizes: list[int]) -> Column:
 
 def normal_terms(queries: DataFrame, query_id: str, term: str) -> DataFrame:
     """Trimmed, non-blank terms as (query_id, _term, _size)."""
-    trimmed = queries.select(F.col(query_id), F.trim(F.col(term)).alias("_term"))
+    trimmed = queries.select(F.col(query_id), F.regexp_replace(F.col(term), r"^\s+|\s+$", "").alias("_term"))
     filled = trimmed.where(F.char_length("_term") > 0)
     return filled.withColumn("_size", F.least(F.char_length(F.lower("_term")), F.lit(GRAM)))
 
@@ -61,7 +60,7 @@ def file_terms(terms: DataFrame, corpus: DataFrame, query_id: str, columns: list
     offered = corpus.sample(SAMPLE, seed=5).select(F.explode(_all_grams(columns, sizes)).alias("_gram"))
     seen = offered.join(wanted, "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_seen"))
     ranked = filed.join(seen, "_gram", "left").withColumn("_seen", F.coalesce("_seen", F.lit(0)))
-    place = F.row_number().over(Window.partitionBy(query_id).orderBy("_seen", "_gram"))
+    place = F.row_number().over(Window.partitionBy(query_id, "_term").orderBy("_seen", "_gram"))
     return ranked.withColumn("_place", place).where(F.col("_place") == 1).select(query_id, "_term", "_gram")
 
 
@@ -143,14 +142,14 @@ def search(
     scorer: str = "similarity",
     few: int = FEW_TERMS,
 ) -> DataFrame:
-    """The best ``k`` rows (1 to 50) of ``corpus`` per query: (query_id, corpus_id, relevance, position).
+    """The best ``k`` rows of ``corpus`` per query: (query_id, corpus_id, relevance, position).
 
     Rows whose ``columns`` hold the term are scored by word similarity, or with ``scorer='exact'``
     by equality with ``name``. Order: score, newest ``date`` (NULL last), smallest id.
     """
     if scorer not in ("similarity", "exact"):
         raise ValueError("scorer must be 'similarity' or 'exact'")
-    k = clamp(k, 1, TOP_LIMIT)
+    k = max(1, k)
     when = F.col(date) if date else F.lit(None).cast("timestamp")
     used = [c for c in dict.fromkeys([corpus_id, *columns, *([name] if name else []), *([date] if date else [])])]
     found = candidates(queries, corpus.select(*used), query_id, term, corpus_id, columns, few)

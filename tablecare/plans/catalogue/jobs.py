@@ -152,6 +152,22 @@ def repair_report(spark: SparkSession, sf: str) -> DataFrame:
     return _repaired(spark, sf)[1]
 
 
+@query(
+    """
+    SELECT event_id, ts, CASE WHEN user_id % 3 = 0 THEN NULL ELSE user_id END AS user_id, event_type FROM events
+    WHERE user_id % 3 = 0
+    UNION ALL
+    (SELECT event_id, ts, user_id, event_type FROM events WHERE user_id % 3 <> 0
+     QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1)
+    """
+)
+def repair_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """A change log in which every third user is NULL, after compaction: rows without a full key stay."""
+    owner = F.when(F.col("user_id") % 3 != 0, F.col("user_id")).alias("user_id")
+    log = read_table(spark, sf, "events").select("event_id", "ts", owner, "event_type")
+    return repairs.compact(log, ["user_id", "event_type"], [F.col("ts").desc(), F.col("event_id").desc()])
+
+
 def _repaired(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     folder = run_folder(spark)
     write_table(read_table(spark, sf, "events"), table_path(folder, "events"))
@@ -304,6 +320,37 @@ def export_csv(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema="n_nationkey string, n_name string, n_customers string")
 
 
+ROUND_TRIP = """
+    SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 5 = 1 THEN '' ELSE '  "' || p_name || '", ' || chr(10) || p_type || '  ' END AS note,
+           CAST(NULL AS varchar) AS nothing
+    FROM part
+"""
+
+
+def _round_trip(spark: SparkSession, sf: str, fmt: str) -> DataFrame:
+    parts = read_table(spark, sf, "part", ["p_partkey", "p_name", "p_type"])
+    text = F.concat(F.lit('  "'), "p_name", F.lit('", \n'), "p_type", F.lit("  "))
+    place = F.col("p_partkey") % 5
+    note = F.when(place == 0, F.lit(None)).when(place == 1, F.lit("")).otherwise(text)
+    path = run_folder(spark)
+    exporting.export_table(parts.select("p_partkey", note.alias("note"), F.lit(None).cast("string").alias("nothing")), path, fmt)
+    if fmt == "json":
+        return spark.read.json(path, schema="p_partkey bigint, note string, nothing string")
+    return spark.read.csv(path, schema="p_partkey bigint, note string, nothing string", header=True, escape='"', multiLine=True, nullValue="\\N")
+
+
+@query(ROUND_TRIP)
+def export_round_trip_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with blanks, quotes, line ends, NULL and nothing, written as CSV and read back."""
+    return _round_trip(spark, sf, "csv")
+
+
+@query(ROUND_TRIP)
+def export_round_trip_json(spark: SparkSession, sf: str) -> DataFrame:
+    """The same texts as JSON lines."""
+    return _round_trip(spark, sf, "json")
+
+
 READONLY = """
     WITH counted AS (SELECT c_nationkey, count(*) AS n_customers, max(c_acctbal) AS best FROM customer GROUP BY c_nationkey)
     SELECT n_name, n_customers, best, 'DROP' AS word FROM nation JOIN counted ON n_nationkey = c_nationkey

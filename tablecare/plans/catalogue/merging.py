@@ -156,6 +156,18 @@ def update_matched(spark: SparkSession, sf: str) -> DataFrame:
     return m.update_matched(orders.where("o_orderpriority <> '5-LOW'"), patch, ["o_orderkey"])
 
 
+@query(
+    """
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS o_orderpriority, o_orderstatus FROM orders
+    """
+)
+def update_matched_other_case(spark: SparkSession, sf: str) -> DataFrame:
+    """A patch whose column names are in upper case."""
+    orders = read_table(spark, sf, "orders", ["o_orderkey", "o_orderpriority", "o_orderstatus"])
+    patch = orders.where("o_orderstatus = 'P'").select("o_orderkey", F.lit(None).cast("string").alias("O_ORDERPRIORITY"))
+    return m.update_matched(orders, patch, ["o_orderkey"])
+
+
 REUSE = """
     WITH held AS (SELECT p_brand, p_name, min(p_partkey) AS id FROM part WHERE p_size <= 25 GROUP BY ALL),
     pend AS (SELECT p_brand, p_name, min(p_partkey) AS id FROM part WHERE p_size > 25 GROUP BY ALL),

@@ -91,11 +91,11 @@ def first_occurrence(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-    SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 50
+    SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 500
     """
 )
 def top(spark: SparkSession, sf: str) -> DataFrame:
-    """The dearest orders; the limit of 500 is clamped to 50."""
+    """The 500 dearest orders."""
     orders = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
     return paging.top(orders, [F.col("o_totalprice").desc_nulls_last(), "o_orderkey"], 500)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablecare.operators.health import dead_ratio, high_water_drift
+from tablecare.operators.keys import any_null
 from tablecare.operators.merging import one_per_key
 from tablecare.sources.tables import read_table, replace_table, table_path
 
@@ -12,8 +13,8 @@ RESULT = "action string, target string, ok boolean, detail string"
 
 
 def compact(log: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
-    """The newest row of each key; ``order`` sorts newest first."""
-    return one_per_key(log, keys, order)
+    """The newest row of each key; ``order`` sorts newest first. Rows without a full key have no newer version and stay."""
+    return one_per_key(log, keys, order).unionByName(log.where(any_null(keys)))
 
 
 def repair(
@@ -37,10 +38,12 @@ def repair(
             whole = log.withColumn("_table", F.lit(name))
             found = dead_ratio(whole, keys, "_table", dead_over, ratio).first()
             if found:
+                before = log.count()
                 replace_table(compact(log, keys, order), table_path(folder, name))
-                results.append(("compact", name, True, f"{found['dead']} rows removed"))
+                removed = before - read_table(spark, folder, name).count()
+                results.append(("compact", name, True, f"{removed} rows removed"))
         except Exception as error:  # noqa: BLE001 - one repair must not stop the others
-            results.append(("compact", name, False, str(error)[:400]))
+            results.append(("compact", name, False, str(error)))
     try:
         held = read_table(spark, folder, marks)
         tables = {n: (read_table(spark, folder, n, [k]), k) for n, k in marked.items()}
@@ -52,5 +55,5 @@ def repair(
             replace_table(fixed, table_path(folder, marks))
         results += [("move mark", r["table"], True, f"{r['last_value']} -> {r['max_value']}") for r in behind]
     except Exception as error:  # noqa: BLE001
-        results.append(("move mark", marks, False, str(error)[:400]))
+        results.append(("move mark", marks, False, str(error)))
     return spark.createDataFrame(results, RESULT)

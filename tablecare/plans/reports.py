@@ -41,7 +41,7 @@ def health_report(spark: SparkSession, checks: Mapping[str, Callable[[], DataFra
         try:
             return cut_lineage(checks[name]())
         except Exception as error:  # noqa: BLE001 - the report must survive any check
-            row = (name, "error", f"check '{name}' could not run: {error}"[:400], type(error).__name__, False)
+            row = (name, "error", f"check '{name}' could not run: {error}", type(error).__name__, False)
             return spark.createDataFrame([row], FINDING)
 
     with ThreadPoolExecutor(AT_ONCE) as pool:

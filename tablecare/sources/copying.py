@@ -76,7 +76,7 @@ def copy_dataset(spark: SparkSession, source: str, target: str, specs: list[Tabl
             lines.append(_copy_one(spark, source, target, spec, mode))
         except Exception as error:  # noqa: BLE001 - one table must not stop the others
             failed.append(spec.name)
-            lines.append((spec.name, "failed", 0, 0, 0, 0, str(error)[:400]))
+            lines.append((spec.name, "failed", 0, 0, 0, 0, str(error)))
     report = spark.createDataFrame(lines, REPORT)
     if failed:
         raise CopyFailed(report, failed)

@@ -32,10 +32,16 @@ def canonical_export(df: DataFrame, key_columns: list[str] = (), uuid_columns: l
 def export_table(
     df: DataFrame, path: str, fmt: str = "parquet", key_columns: list[str] = (), uuid_columns: list[str] = ()
 ) -> None:
-    """Write the canonical form as parquet, JSON lines or CSV with a header."""
+    """Write the canonical form as parquet, JSON lines or CSV with a header.
+
+    Nothing is trimmed or left out: JSON shows every NULL field, and CSV writes a NULL as ``\\N`` (read it with
+    ``nullValue``), so it differs from an empty text.
+    """
     if fmt not in FORMATS:
         raise ValueError(f"fmt must be one of {', '.join(FORMATS)}")
     writer = canonical_export(df, key_columns, uuid_columns).write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        writer = writer.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, nullValue="\\N")
+    if fmt == "json":
+        writer = writer.option("ignoreNullFields", False)
     writer.format(fmt).save(path)
