@@ -35,6 +35,10 @@ _DOLLAR = re.compile(r"\$[A-Za-z_]*\$")
 _BLOCKED = re.compile(r"\b(" + "|".join(BLOCKED) + r")\b", re.IGNORECASE)
 
 
+_REFLECTION = re.compile(r"\b(reflect|java_method|try_reflect)\(", re.IGNORECASE)
+"""How Spark shows functions that call any JVM method. A literal that looks like one is refused too."""
+
+
 class Rejected(ValueError):
     """The statement is empty, not read-only, or more than one."""
 
@@ -85,8 +89,17 @@ def readonly_frame(spark: SparkSession, sql: str, args: Mapping[str, Any] | None
     if starter == "EXPLAIN":
         inner = re.sub(r"^EXPLAIN(\s+(EXTENDED|CODEGEN|COST|FORMATTED))?\s+", "", statement, flags=re.IGNORECASE)
         check_readonly(inner)
+        _harmless(spark.sql(f"SELECT * FROM ({inner}\n)", args=dict(args or {})))
         return spark.sql(f"EXPLAIN FORMATTED SELECT * FROM ({inner}\n)", args=dict(args or {}))
-    return spark.sql(f"SELECT * FROM ({statement}\n)", args=dict(args or {}))
+    return _harmless(spark.sql(f"SELECT * FROM ({statement}\n)", args=dict(args or {})))
+
+
+def _harmless(df: DataFrame) -> DataFrame:
+    """``df``, unless its analysed plan calls the JVM by name; nothing of it has run by then."""
+    called = _REFLECTION.search(df._jdf.queryExecution().analyzed().toString())
+    if called:
+        raise Rejected(f"'{called.group(1)}' is blocked")
+    return df
 
 
 def bounded_query(spark: SparkSession, sql: str, max_rows: int = MAX_ROWS) -> DataFrame:
@@ -114,8 +127,11 @@ def run_readonly(spark: SparkSession, sql: str, max_rows: int = 200, explain: bo
 def tenant_sql(
     spark: SparkSession, folder: str, names: list[str], sql: str, args: Mapping[str, Any] | None = None
 ) -> DataFrame:
-    """Read-only SQL with parameters, in a session that knows the tenant's tables and no other views."""
+    """Read-only SQL with parameters, in a session that knows the tenant's tables, no other views, and no files by path."""
+    if re.search(r"\bglobal_temp\b", sql, re.IGNORECASE):
+        raise Rejected("global views are not allowed")
     own = spark.newSession()
+    own.conf.set("spark.sql.runSQLOnFiles", "false")
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     for name in names:
         read_table(own, folder, name).createOrReplaceTempView(name)

@@ -215,45 +215,40 @@ def test_conform_dataset_adds_tables(spark):
     assert outcome == "blocked" and set(same) == {"t"}
 
 
-@pytest.mark.parametrize(
-    "sql",
-    [
-        "SELECT 1",
-        'select "id" from items limit 5;',
-        "SELECT count(*) FROM items -- the end; really",
-        "/* a plan */ EXPLAIN SELECT 1",
-        "WITH v AS (SELECT 1 AS n) SELECT n FROM v",
-        "SHOW TABLES",
-        "TABLE items",
-        "VALUES (1), (2)",
-        "(SELECT 1)",
-        "SELECT 'UPDATE; DROP' AS word, `SET` FROM (VALUES (1)) AS t(`SET`)",
-        "SELECT 'it''s -- no comment' AS word",
-        "SELECT 'a\\'; DROP' AS word",
-        "SELECT updated_at, dropped FROM items",
-    ],
-)
-def test_reading_statements_pass(sql):
-    assert g.check_readonly(sql)
+BODIES = {"SELECT": "SELECT n_name FROM nation", "WITH": "WITH k AS (SELECT 7 AS seven) SELECT seven FROM k", "TABLE": "TABLE nation", "VALUES": "VALUES (7)", "EXPLAIN": "EXPLAIN SELECT 7", "SHOW": "SHOW TABLES"}
+WRAPPERS = ["{}", "  {} ; ", "/* why */ {}", "{} -- tail; end", "\n{}\n"]
+HIDING = ["'{}'", '"{}"', "`{}`", "a_{}", "{}_at"]
 
 
-@pytest.mark.parametrize(
-    "sql",
-    [
-        "", "   ", "-- nothing", ";", "UPDATE items SET name = 'x'", "DELETE FROM items", "INSERT INTO items VALUES (1)",
-        "DROP TABLE items", "TRUNCATE TABLE items", "ALTER TABLE items ADD COLUMN x int", "CREATE TABLE x (a int)",
-        "SET a = b", "VACUUM", "SELECT 1; DROP TABLE items", "SELECT * INTO copy FROM items",
-        "-- hidden\nUPDATE items SET name = 'x'", "/* hidden */ DELETE FROM items", "SELECT $$'$$; DROP TABLE items; SELECT $$'$$",
-        "SELECT $tag$x$tag$", "USE other", "CACHE TABLE items", "ADD JAR x", "LOAD DATA INPATH 'x' INTO TABLE y",
-        "FROM items INSERT INTO x SELECT *", "EXPLAIN DELETE FROM items", "WITH x AS (SELECT 1) INSERT INTO y SELECT * FROM x",
-        "/* a /* b */ c */ SELECT 1", "REFRESH TABLE items", "SELECT 'a' ; SELECT 'b'",
-    ],
-)
+@pytest.mark.parametrize("starter", g.STARTERS)
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_reading_statements_pass(starter, wrapper):
+    assert g.check_readonly(wrapper.format(BODIES[starter]))
+
+
+@pytest.mark.parametrize("word", g.BLOCKED)
+def test_blocked_words_count_outside_of_names_and_literals(word):
+    for hidden in HIDING:
+        assert g.check_readonly(f"SELECT {hidden.format(word)} FROM nation")
+    for shape in ("{} nation", "SELECT 7; {} nation", "SELECT 7 {} nation", "-- x\n{} nation", "/* x */ {} nation", "WITH k AS (SELECT 7) {} k"):
+        for form in (word, word.lower()):
+            with pytest.raises(g.Rejected):
+                g.check_readonly(shape.format(form))
+
+
+@pytest.mark.parametrize("sql", ["", " \t", "--", ";;", "SELECT 7; SELECT 8", "SELECT $q$;$q$", "/* a /* b */ */ SELECT 7", "USE x", "CACHE TABLE x", "ADD FILE x", "LOAD DATA INPATH 'x' INTO TABLE y"])
 def test_other_statements_are_rejected(sql):
     with pytest.raises(g.Rejected):
         g.check_readonly(sql)
 
 
+@pytest.mark.parametrize("call", ["reflect('java.lang.System', 'nanoTime')", "`java_method`('java.lang.System', 'nanoTime')", "try_reflect('java.lang.System', 'nanoTime')"])
+@pytest.mark.parametrize("frame", ["SELECT {}", "EXPLAIN SELECT {}", "SELECT 7 WHERE {} IS NULL"])
+def test_no_call_into_the_jvm(spark, call, frame):
+    with pytest.raises(g.Rejected):
+        g.readonly_frame(spark, frame.format(call))
+
+
 def test_console(spark):
     spark.range(20).withColumn("a", F.array("id")).createOrReplaceTempView("console_items")
     result = g.run_readonly(spark, "SELECT id, a, binary('ab') AS b, timestamp '2024-01-02 03:04:05' AS t FROM console_items ORDER BY id; ", 3)
@@ -283,6 +278,12 @@ def test_a_tenant_sees_its_own_tables_only(spark, folder):
     assert g.tenant_sql(spark, data, ["mine"], "SELECT count(*) FROM mine WHERE id >= :low", {"low": 2}).first()[0] == 3
     with pytest.raises(Exception, match="foreign_view"):
         g.tenant_sql(spark, data, ["mine"], "SELECT * FROM foreign_view").collect()
+    other = folder()
+    tables.write_table(spark.range(9), tables.table_path(other, "theirs"))
+    with pytest.raises(Exception, match="theirs"):
+        g.tenant_sql(spark, data, ["mine"], f"SELECT * FROM parquet.`{tables.table_path(other, 'theirs')}`").collect()
+    with pytest.raises(g.Rejected):
+        g.tenant_sql(spark, data, ["mine"], "SELECT * FROM GLOBAL_TEMP.x")
 
 
 def test_report_survives_a_check_that_fails_while_running(spark):
