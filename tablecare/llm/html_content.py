@@ -51,7 +51,7 @@ HINTS = {
     "form": "form search login signup register contact input",
     "comment": "comment comments reply replies respond discussion disqus thread feedback review reviews",
     "share": "share sharing social follow like buttons toolbar",
-    "content": "content article post entry story main text body page blog news prose",
+    "content": "content article post entry story main text blog news prose",
 }
 _HINT = {word: kind for kind, words in HINTS.items() for word in words.split()}
 
@@ -241,7 +241,7 @@ class Model:
         return 1 / (1 + np.exp(np.clip(belief[:, 0] - belief[:, 1], -500, 500))), joint
 
 
-def train(labelled: Iterable[str], rounds: int = 300, rate: float = 0.2, shrink: float = 1e-3) -> Model:
+def train(labelled: Iterable[str], rounds: int = 400, rate: float = 0.3, shrink: float = 1e-5) -> Model:
     """The potentials that make the labels likely: gradient ascent, with expectations from sum-product.
 
     ``labelled`` are pages with ``data-content`` marks. They are held on the driver, so their number is a bound that the caller sets.
@@ -290,7 +290,7 @@ def labelled_pages(count: int = 240, seed: int = 7) -> list[str]:
 
     def named(kind: str, tag: str = "div") -> str:
         name = r.choice(HINTS[kind].split())
-        return f'<{tag} {r.choice(["class", "id"])}="{r.choice(["", "site-", "page-"])}{name}{r.choice(["", "-box", " c1"])}">'
+        return f'<{tag} {r.choice(["class", "id"])}="{r.choice(["", "site-", "x-"])}{name}{r.choice(["", "-box", " c1"])}">'
 
     def links(n: int) -> str:
         return "<ul>" + "".join(f'<li><a href="/x">{words(1, 4)}</a></li>' for _ in range(n)) + "</ul>"
@@ -307,7 +307,11 @@ def labelled_pages(count: int = 240, seed: int = 7) -> list[str]:
             "advert": lambda: r.choice([sentences(r.randint(1, 4)), f"<p>{sentences(2)}</p><a href='/buy'>{words(1, 3)}</a>"]),
             "notice": lambda: f"<p>{sentences(r.randint(1, 3))}</p><button>{words(1, 2)}</button>",
             "form": lambda: f"<label>{words(1, 3)}</label><input><button>{words(1, 2)}</button><p>{words(3, 9)}.</p>",
-            "comment": lambda: f"<h3>{words(1, 3)}</h3>" + "".join(f"<div class='comment'><b>{words(1, 2)}</b><p>{sentences(r.randint(1, 4))}</p></div>" for _ in range(r.randint(1, 4))),
+            "comment": lambda: r.choice(["", f"<h3>{words(1, 3)}</h3>"]) + r.choice([
+                lambda: "".join(f"<div class='comment'><b>{words(1, 2)}</b><p>{sentences(r.randint(1, 4))}</p></div>" for _ in range(r.randint(1, 4))),
+                lambda: "".join(f"<p>{sentences(r.randint(1, 5))}</p>" for _ in range(r.randint(1, 5))),
+                lambda: "<ol>" + "".join(f"<li>{words(1, 2)}<p>{sentences(r.randint(1, 3))}</p></li>" for _ in range(r.randint(1, 4))) + "</ol>",
+            ])(),
             "share": lambda: links(3),
         }[kind]()
         return f'{_marked(opened, 0)}{inside}</{tag}>'
@@ -331,12 +335,12 @@ def labelled_pages(count: int = 240, seed: int = 7) -> list[str]:
         style[0] = r.choice(["", "", "", "", "%%%", ",", "!!", " ", " "])
         title = f"<h1>{words(3, 12)}</h1>"
         title = r.choice([title, title, f"<header>{title}</header>", f"<div>{title}</div>"])
-        inside = [noise(r.choice(["advert", "share", "side", "notice"])) if r.random() < 0.08 else block() for _ in range(r.choice([1, 1, 2, 4, 8, 14]))]
+        inside = [noise(r.choice(["advert", "share", "side", "side", "notice", "form", "menu"])) if r.random() < 0.15 else block() for _ in range(r.choice([1, 1, 2, 4, 8, 14]))]
         if r.random() < 0.15:
             inside += [f"<p>{words(1, 3)}.</p>"] * r.randint(5, 60)
-        opened = r.choice(["<article>", "<article>", "<article>", "<main>", "<main><article>", "<section>", "<div>", named("content"), named("content"), named("content", "section"), '<div class="x1"><div class="y2">'])
+        opened = r.choice(["<article>", "<article>", "<article>", "<main>", "<main>", "<main><article>", "<section>", "<div>", named("content"), named("content"), named("content", "section"), '<div class="x1"><div class="y2">'])
         closed = "".join(f"</{t}>" for t in reversed(re.findall(r"<([a-z]+)", opened)))
-        tail = noise("comment") if r.random() < 0.3 else ""
+        tail = noise("comment") if r.random() < 0.45 else ""
         article = f'{_marked(opened, 1)}{title}{"".join(inside)}{tail if r.random() < 0.5 else ""}{closed}{tail if r.random() < 0.5 else ""}'
         before = [noise(k) for k in ("head", "menu", "notice", "advert", "form") if r.random() < 0.5]
         after = [noise(k) for k in ("side", "advert", "comment", "form", "share", "foot", "foot") if r.random() < 0.4]

@@ -117,10 +117,10 @@ def _split(pool: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     while True:
         sizes = pool.groupBy("group").agg(F.count("*").alias("size")).where(F.col("size") > LARGEST_GROUP).select("group")
         if sizes.limit(1).count() == 0:
-            return (pool if small is None else small.unionAll(pool)), shown
+            return (pool if small is None else small.unionByName(pool)), shown
         sizes = cut_lineage(sizes)
         rest = pool.join(sizes, "group", "left_anti")
-        small = rest if small is None else small.unionAll(rest)
+        small = rest if small is None else small.unionByName(rest)
         large = pool.join(sizes, "group").withColumn("middle", F.expr("(low + high) div 2"))
         before = F.least(F.greatest(F.col("place") - F.col("middle") + 1, F.lit(0)), F.col("windows"))
         halves = []

@@ -264,6 +264,7 @@ def test_token_counts(docs, empty, rows):
 PAGES = [
     ("<html><body><nav><a href=x>Home</a></nav><article><h1>Title &amp; more</h1><p>First   para\n<b>bold</b> text here.<p>Second one is here too.</article><footer>&copy; x</footer>", "Title & more\nFirst para bold text here.\nSecond one is here too."),
     ("<body><div class=cookie-notice><p>We use cookies to make things better.</p></div><main><p>The real story is told in this long sentence.</p><aside><p>Related things to read.</p></aside></main><form><label>Name</label></form>", "The real story is told in this long sentence."),
+    ("<div id=wrap><div class=header><a href=/>Site</a></div><div class=post><h1>Head line</h1><p>Text one is here.</p><div class='ad-slot'>Buy now our things today.</div><p>Text two is here.</p></div><div id=comments><p>Nice post, I like it very much.</p></div></div>", "Head line\nText one is here.\nText two is here."),
     ("", ""),
     (None, ""),
     ("<script>var x='<p>no</p>'</script><style>p{}</style>", ""),
@@ -271,7 +272,7 @@ PAGES = [
 
 
 def test_html(spark):
-    model = html_content.train(html_content.labelled_pages(120), rounds=200)
+    model = html_content.train(html_content.labelled_pages())
     frame = spark.createDataFrame([(k, None, h, "t") for k, (h, _) in enumerate(PAGES)] + [(None, "u", PAGES[0][0], "t")], "page_id long, url string, html string, text string")
     found = {r["page_id"]: r for r in html_content.extract(frame, model).collect()}
     assert [found[k]["text"] for k in range(len(PAGES))] == [t for _, t in PAGES]
