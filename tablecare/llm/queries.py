@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablecare.llm import chat, decontamination, html_content, jaccard_join, line_dedup, packing, quality, secrets, substring_dedup, wordpiece_counts
+from tablecare.llm.shipping import ship
 from tablecare.session import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,7 +22,12 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query under its function name, with the SQL that gives the same rows."""
 
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        @wraps(function)
+        def shipped(spark: SparkSession, sf: str) -> DataFrame:
+            ship(spark)
+            return function(spark, sf)
+
+        QUERIES[function.__name__] = shipped
         if sql:
             ORACLES[function.__name__] = sql
         return function
