@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablecare.llm import decontamination, jaccard_join, line_dedup, packing, quality
+from tablecare.llm.queries import vocabulary
+from tablecare.llm.shipping import ship
 from tablecare.session import cut_lineage, shared_dir
 
 NEAR = jaccard_join.Similarity(shingle=5, percent=80)
@@ -15,6 +16,7 @@ NEAR = jaccard_join.Similarity(shingle=5, percent=80)
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that pass the fixed rules and the cutoffs fitted on the labelled ones of their language."""
+    ship(spark)
     measured = cut_lineage(quality.measure(docs, keep=["doc_id", "lang"]).select("row.*", *quality.MEASURES))
     cutoffs = quality.fit_on(measured, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     passed = quality.measure(docs).where(quality.verdict(cutoffs, F.col("row")["lang"]))
@@ -28,6 +30,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    ship(spark)
     return jaccard_join.keep_one(docs, NEAR)
 
 
@@ -38,7 +41,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A place in a sequence for every piece of every document."""
-    return packing.pack(docs, open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read())
+    ship(spark)
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"))
 
 
 STAGES = [
