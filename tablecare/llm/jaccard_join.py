@@ -112,8 +112,8 @@ def _file(texts: DataFrame, like: Similarity) -> DataFrame:
     return texts.select("a", "text").mapInArrow(spell, "a long, token long, at long")
 
 
-def prefix_of(n: int, counted: int, shared: tuple[np.ndarray, np.ndarray, np.ndarray], like: Similarity) -> tuple[np.ndarray, int]:
-    """The shared tokens in the prefix of a set of ``n``, and how many of them a partner must share.
+def prefix_of(n: int, counted: int, shared: tuple[np.ndarray, np.ndarray, np.ndarray], like: Similarity) -> tuple[np.ndarray, np.ndarray, int]:
+    """The shared tokens in the prefix of a set of ``n``, their places, and how many of them a partner must share.
 
     ``shared`` has the tokens that other sets have too, their counts and their places by hash; ``counted`` of the set's tokens are
     counted ones. The other tokens match nothing, but those that are rarer take places in the prefix.
@@ -130,11 +130,11 @@ def prefix_of(n: int, counted: int, shared: tuple[np.ndarray, np.ndarray, np.nda
         price = size + CANDIDATE_COST * float((counts[:size] - 1).sum()) / (m * m)
         if price < best:
             best, length, match = price, size, m
-    return tokens[:length], match
+    return tokens[:length], at[:length], match
 
 
 def _prefixes(filed: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
-    """(token, a, n, match, lone): the shared tokens in the adaptive prefix of every set that may have a partner.
+    """(token, a, n, match, lone, at): the shared tokens, with their places, in the adaptive prefix of every set that may have a partner.
 
     A set whose prefix holds only tokens of its own leaves here; ``lone`` counts these among the counted tokens.
     """
@@ -148,17 +148,19 @@ def _prefixes(filed: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
             token, count, place = (c.to_numpy(zero_copy_only=False) for c in entries.flatten().flatten())
             ends = np.cumsum([0, *np.diff(entries.offsets.to_numpy())])
             a, n, counted = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "n", "counted"))
-            rows = [(np.zeros(0, np.int64), np.zeros((0, 4), np.int64))]
+            rows = [(np.zeros(0, np.int64), np.zeros((0, 5), np.int64))]
             for i in range(len(a)):
                 part = slice(ends[i], ends[i + 1])
-                prefix, match = prefix_of(int(n[i]), int(counted[i]), (token[part], count[part], place[part]), like)
+                prefix, at, match = prefix_of(int(n[i]), int(counted[i]), (token[part], count[part], place[part]), like)
                 if len(prefix):
                     lone = counted[i] - (token[part] < like.counted).sum()
-                    rows.append((prefix, np.tile(np.array([a[i], n[i], match, lone], np.int64), (len(prefix), 1))))
+                    own = np.tile(np.array([a[i], n[i], match, lone, 0], np.int64), (len(prefix), 1))
+                    own[:, 4] = at
+                    rows.append((prefix, own))
             about = np.concatenate([r[1] for r in rows])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([r[0] for r in rows])), *[pa.array(about[:, c].copy()) for c in range(4)]], ["token", "a", "n", "match", "lone"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([r[0] for r in rows])), *[pa.array(about[:, c].copy()) for c in range(5)]], ["token", "a", "n", "match", "lone", "at"])
 
-    return lists.join(sets, "a").select("a", "n", "counted", "shared").mapInArrow(choose, "token long, a long, n long, match long, lone long")
+    return lists.join(sets, "a").select("a", "n", "counted", "shared").mapInArrow(choose, "token long, a long, n long, match long, lone long, at long")
 
 
 def _full_sets(texts: DataFrame, shingle: int) -> DataFrame:
@@ -213,7 +215,7 @@ def link_classes(docs: DataFrame, like: Similarity = Similarity(), doc_id: str =
     spelt = full.select("a", F.explode("tokens").alias("token")).select("a", F.shiftrightunsigned("token", 1).alias("token"), F.lit(0).cast("long").alias("at"))
     meta = full.select("a", "tokens").dropDuplicates(["a"]).select("a", F.size("tokens").cast("long").alias("n")).withColumn("counted", F.col("n"))
     filed = _in_company(cut_lineage(_prefixes(spelt, meta, every))).join(wanted.select("a", "b", "copies"), "a")
-    filed = cut_lineage(filed.select("token", F.struct("a", "b").alias("id"), "n", "match", "lone", "copies"))
+    filed = cut_lineage(filed.select("token", F.struct("a", "b").alias("id"), "n", "match", "lone", "at", "copies"))
     full = cut_lineage(full.join(filed.select("id.a", "id.b").distinct(), ["a", "b"], "left_semi").dropDuplicates(["a", "b"]))
 
     links, open_ = None, filed.withColumn("label", F.col("id"))
@@ -248,17 +250,23 @@ def _still_open(filed: DataFrame, links: DataFrame) -> DataFrame:
 def _cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of different groups that share enough prefix tokens.
 
-    In a bucket the members of its largest group meet only the members of other groups. A pair shares as many prefix tokens as
-    both ask for; and of the set whose prefix ends first, no more tokens may be missing than the overlap that both sizes need allows.
+    In a bucket the members of its largest group meet only the members of other groups, and a pair is named where its first shared token
+    can stand: no more tokens may come before it than either set can miss. A named pair shares as many prefix tokens as both ask for;
+    and of the set whose prefix ends first, no more tokens may be missing than the overlap that both sizes need allows.
     """
     largest = rows.groupBy("token", "label").count().groupBy("token").agg(F.max(F.struct("count", "label")).alias("top")).select("token", F.col("top.label").alias("main"))
-    rows = rows.join(largest, "token")
-    few = rows.where("label <> main").select("token", F.col("id").alias("x"), F.col("n").alias("xn"), F.col("match").alias("xm"), F.col("lone").alias("xlone"), F.col("label").alias("xl"))
-    met = few.join(rows, "token").where((F.col("xl") != F.col("label")) & ((F.col("label") == F.col("main")) | (F.col("x") < F.col("id"))) & _fits(percent))
+    placed = rows.join(largest, "token")
+    few = placed.where("label <> main").select("token", F.col("id").alias("x"), F.col("n").alias("xn"), F.col("at").alias("xat"), F.col("lone").alias("xlone"), F.col("label").alias("xl"))
+    first = (F.col("xn") - F.col("xat") >= _overlap(percent)) & (F.col("n") - F.col("at") >= _overlap(percent))
+    met = few.join(placed, "token").where((F.col("xl") != F.col("label")) & ((F.col("label") == F.col("main")) | (F.col("x") < F.col("id"))) & _fits(percent) & first)
+    named = met.select("x", F.col("id").alias("y")).distinct()
+
+    prefixes = rows.groupBy("id").agg(F.collect_list("token").alias("prefix"), F.first("n").alias("n"), F.first("match").alias("match"))
+    left = prefixes.select(F.col("id").alias("x"), F.col("prefix").alias("xp"), F.col("n").alias("xn"), F.col("match").alias("xm"))
+    both = named.join(left, "x").join(prefixes.withColumnRenamed("id", "y"), "y")
     spare = lambda n, match: F.col(match) - F.ceil(F.col(n) * percent / 100 - 1e-9) + _overlap(percent)
     need = F.greatest(F.least("xm", "match"), F.least(spare("xn", "xm"), spare("n", "match")))
-    pair = F.least("x", "id").alias("x"), F.greatest("x", "id").alias("y")
-    return met.select(*pair, need.alias("need")).groupBy("x", "y").agg(F.count("*").alias("met"), F.first("need").alias("need")).where("met >= need").select("x", "y")
+    return both.where(F.size(F.array_intersect("xp", "prefix")) >= need).select("x", "y")
 
 
 def document_groups(docs: DataFrame, like: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
