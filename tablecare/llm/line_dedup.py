@@ -1,7 +1,8 @@
 """Removal of lines that repeat or nearly repeat an earlier line: an exact set-similarity join in DataFrame functions.
 
 A line is the set of its five-word shingles. Two lines match if the Jaccard similarity of their sets is 0.8 or more; a line goes
-if any earlier line (by doc_id, hash of the text, line number) matches it. Lines with fewer words than a shingle stay.
+if any earlier line (by doc_id, hash of the text, line number) matches it. A line with fewer words than a shingle has one shingle of
+all its words, so it matches equal lines only. Blank lines stay.
 
 1. Equal sets collapse to their first line, with a count.
 2. Any two sets that match share ``m`` of the first ``n - ceil(0.8 n) + m`` tokens under any common order. With hashes as the order and
@@ -36,7 +37,7 @@ def _shingles(line: Column) -> tuple[Column, Column]:
     """(words as hashes, shingles of the column ``words``): the second reads the first as ``words``."""
     words = F.transform(F.split(F.lower(F.btrim(line, F.lit(_BLANKS))), _GAP), lambda w: F.xxhash64(w))
     runs = F.transform(F.sequence(F.lit(0), F.size("words") - SHINGLE), lambda i: F.xxhash64(*[F.get(F.col("words"), i + k) for k in range(SHINGLE)]))
-    return words, F.sort_array(F.array_distinct(runs))
+    return words, F.when(F.size("words") >= SHINGLE, F.sort_array(F.array_distinct(runs))).otherwise(F.array(F.xxhash64("words")))
 
 
 def _needed(n: Column) -> Column:
@@ -45,11 +46,11 @@ def _needed(n: Column) -> Column:
 
 
 def occurrences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """One row per line with enough words: its place, its 128-bit set name (a, b), set size and hash-ordered prefix."""
+    """One row per line that is not blank: its place, its 128-bit set name (a, b), set size and hash-ordered prefix."""
     own = docs.select(docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("text_hash"), docs[text].alias("text"))
     lines = own.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     words, tokens = _shingles(F.col("line"))
-    worded = lines.select("doc_id", "text_hash", "pos", words.alias("words")).where(F.size("words") >= SHINGLE)
+    worded = lines.where(F.btrim("line", F.lit(_BLANKS)) != "").select("doc_id", "text_hash", "pos", words.alias("words"))
     sets = worded.select("doc_id", "text_hash", "pos", tokens.alias("tokens"))
     n = F.size("tokens")
     prefix = F.transform(F.slice("tokens", F.lit(1), n - _needed(n) + MATCHES), lambda t: F.shiftright(t, 32).cast("int"))
