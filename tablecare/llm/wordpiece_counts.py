@@ -1,6 +1,7 @@
 """Token counts by a linear longest-match automaton.
 
-Greedy word pieces take the longest vocabulary entry at each step. The automaton is the trie of the vocabulary with, for every
+Greedy word pieces take the longest vocabulary entry at each step. The last letter of a word and its end are one symbol, so a piece
+inside a word never takes the last letter, and a byte-level vocabulary with both forms of every byte covers every word. The automaton is the trie of the vocabulary with, for every
 node, the node to go on from when the next letter does not fit and the number of pieces that are finished by then. So a word
 is read once, letter by letter, and its pieces are counted without being built.
 """
@@ -61,10 +62,15 @@ class LongestMatch:
     def symbols(entry: str) -> list[str]:
         return [*entry.removesuffix(END), END] if entry.endswith(END) else list(entry)
 
+    @classmethod
+    def ended(cls, word: str) -> list[str]:
+        """The symbols of a whole word."""
+        return cls.symbols(word + END)
+
     def count(self, word: str) -> int:
         """Pieces of a word, or 1 for the unknown token if greedy matching cannot cover it."""
         node, pieces = 0, 0
-        for symbol in (*word, END):
+        for symbol in self.ended(word):
             while symbol not in self.follow[node]:
                 if self.back[node] < 0:
                     return 1
@@ -79,6 +85,15 @@ class LongestMatch:
         return pieces
 
 
+class EndedMatch(LongestMatch):
+    """The automaton over letters of which the last one of a word carries the word end: ``r`` and ``r</w>`` are two symbols."""
+
+    @staticmethod
+    def symbols(entry: str) -> list[str]:
+        body = entry.removesuffix(END)
+        return [*body[:-1], body[-1:] + END] if entry.endswith(END) else list(entry)
+
+
 class Counts(dict):
     """Word -> number of pieces."""
 
@@ -106,7 +121,7 @@ def byte_letter(byte: int) -> str:
 def _counts(vocabulary: str) -> Counts:
     model = json.loads(vocabulary)
     special = {t["content"] for t in model["added_tokens"]}
-    return Counts(LongestMatch(t for t in model["model"]["vocab"] if t not in special))
+    return Counts(EndedMatch(t for t in model["model"]["vocab"] if t not in special))
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,9 +1,13 @@
 """Inputs that the operators once left aside, against plain versions of the whole job."""
 
+import json
 import re
 from collections import Counter
 
-from tablecare.llm import line_dedup
+from tablecare.llm import line_dedup, wordpiece_counts
+from tablecare.llm.queries import QUERIES, vocabulary
+from tests.conftest import SMALL
+from tests.oracle import connect
 
 
 def later_lines(docs):
@@ -30,3 +34,26 @@ def test_line_dedup_of_short_lines(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert {r["doc_id"]: r["removed"] for r in line_dedup.removed_per_document(docs).collect()} == expected
     assert {r["doc_id"]: r["text"] for r in line_dedup.drop_later_lines(docs).collect()} == {0: texts[0], 1: " \t\n two one three four\na b c d", 2: "a b c d e\n\none", 4: "\n"}
+
+
+def greedy_pieces(text, vocabulary):
+    """Longest entry first, word by word; the last letter of a word stands only in entries that end a word."""
+    n = 0
+    for word in text.lower().split():
+        letters, at = "".join(map(wordpiece_counts.byte_letter, word.encode())) + "</w>", 0
+        while at < len(letters):
+            ends = [len(letters), *range(len(letters) - 5, at, -1)]
+            at = next(end for end in ends if letters[at:end] in vocabulary)
+            n += 1
+    return n
+
+
+def test_token_counts_cover_every_word(spark):
+    text = vocabulary("word_bpe_49k.json")
+    known = set(json.loads(text)["model"]["vocab"]) - {"<|startoftext|>", "<|endoftext|>"}
+    assert [greedy_pieces(w, known) for w in ("für", "ciónciónciónue")] == [3, 10]
+    rows = [tuple(r) for r in connect(SMALL).execute("SELECT doc_id, text FROM documents").fetchall()] + [(-1, "für ciónciónciónue"), (-2, "</w> a</w> \x00\x1f é😀ß " + "für" * 50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = Counter((i, len((t or "").lower().split()), greedy_pieces(t or "", known)) for i, t in rows)
+    assert Counter(tuple(r) for r in wordpiece_counts.count_tokens(docs, text).collect()) == expected
+    assert Counter(tuple(r) for r in QUERIES["op5_token_counts"](spark, SMALL).collect()) == Counter({k: n for k, n in expected.items() if k[0] >= 0})
