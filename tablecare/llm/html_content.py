@@ -28,6 +28,7 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'
 # HTML element kinds.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = set("head script style title noscript template iframe object svg math canvas audio video map datalist select textarea option".split())
+HEAD_ONLY = set("head base basefont bgsound link meta noframes noscript script style template title".split())
 RAW = {"script", "style", "title", "textarea", "noscript", "iframe"}
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span "
@@ -55,6 +56,8 @@ HINTS = {
 }
 _HINT = {word: kind for kind, words in HINTS.items() for word in words.split()}
 
+_BLANKS = " \t\n\f\r"
+
 ELEMENTS = "body article main section div p h1 h2 h3 h4 li ul ol table td blockquote pre figure nav header footer aside form dl address".split()
 
 
@@ -89,6 +92,8 @@ def _hints(rest: str) -> list[str]:
 def parse(source: str) -> Page:
     """The block tree of a page. Broken markup is closed as browsers do; a cut tag at the end is dropped.
 
+    An open head ends at ``<body>`` and at the first text or tag that cannot stand in it, as ``</head>`` may be left out.
+
     ``data-content="1"`` or ``"0"`` labels an element and what is below it; what has no label is not content.
     """
     page = Page()
@@ -117,6 +122,8 @@ def parse(source: str) -> Page:
     for token in _TOKEN.finditer(source):
         if token.start() < at:
             continue
+        if stack[-1][0] == "head" and source[at : token.start()].strip(_BLANKS):
+            pop()
         if not unseen and token.start() > at:
             run.append(source[at : token.start()])
             if links:
@@ -125,7 +132,10 @@ def parse(source: str) -> Page:
         tag = (token["tag"] or token["tag2"] or "").lower()
         if not tag:
             continue
-        if token["end"] or token["end2"]:
+        closing = token["end"] or token["end2"]
+        if stack[-1][0] == "head" and (tag in ("html", "body", "br") if closing else tag not in HEAD_ONLY and tag != "html"):
+            pop()
+        if closing:
             if any(tag == open_ for open_, _, _ in stack[1:]):
                 if tag not in INLINE and not unseen:
                     flush()
@@ -136,7 +146,7 @@ def parse(source: str) -> Page:
                 run.append(" ")
             continue
         rest = token["rest"] or token["rest2"] or ""
-        if tag in ("html", "body"):
+        if tag in ("html", "body") or tag == stack[-1][0] == "head":
             continue
         if tag in VOID:
             if tag == "hr" and not unseen:
@@ -174,6 +184,8 @@ def parse(source: str) -> Page:
         stack.append((tag, node, label))
         unseen += tag in UNSEEN
         links += tag == "a"
+    if stack[-1][0] == "head" and source[at:].strip(_BLANKS):
+        pop()
     if not unseen and at < len(source):
         run.append(source[at:])
         if links:

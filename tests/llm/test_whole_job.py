@@ -4,7 +4,7 @@ import json
 import re
 from collections import Counter
 
-from tablecare.llm import line_dedup, wordpiece_counts
+from tablecare.llm import html_content, line_dedup, wordpiece_counts
 from tablecare.llm.queries import QUERIES, vocabulary
 from tests.conftest import SMALL
 from tests.oracle import connect
@@ -57,3 +57,18 @@ def test_token_counts_cover_every_word(spark):
     expected = Counter((i, len((t or "").lower().split()), greedy_pieces(t or "", known)) for i, t in rows)
     assert Counter(tuple(r) for r in wordpiece_counts.count_tokens(docs, text).collect()) == expected
     assert Counter(tuple(r) for r in QUERIES["op5_token_counts"](spark, SMALL).collect()) == Counter({k: n for k, n in expected.items() if k[0] >= 0})
+
+
+def test_pages_without_head_end(spark):
+    body = "<nav><a href=x>Home</a></nav><article><h1>Title</h1><p>First para is here.<p>Second one is here too.</article><footer>&copy; x</footer>"
+    heads = ["<meta charset=utf-8><title>t</title>", "<script>var x</script><style>p{}</style><link rel=x>", "<template><p>no</p></template>", "\n<!-- c -->\n<noscript><p>no</p></noscript>"]
+    pages = [f"<!doctype html><html><head>{h}{opened}{body}" for h in heads for opened in ("</head><body>", "<body>", "", "\n")]
+    model = html_content.train(html_content.labelled_pages())
+    frame = spark.createDataFrame([(k, None, p) for k, p in enumerate(pages)], "page_id long, url string, html string")
+    found = [r["text"] for r in html_content.extract(frame, model).orderBy("page_id").collect()]
+    assert found == ["Title\nFirst para is here.\nSecond one is here too."] * len(pages)
+    runs = lambda source: [t for t in html_content.parse(source).text if t]
+    assert runs("<head><title>t</title> text <b>of</b> the page") == ["text of the page"]
+    assert runs("<head><title>t</title></body>text") == runs("<head><meta>text") == ["text"]
+    assert runs("<html><head><head><title>t</title><p>one") == ["one"]
+    assert runs("<head><template><p>no</p></template></head><p>yes") == ["yes"]
