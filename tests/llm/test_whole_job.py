@@ -1,10 +1,11 @@
 """Inputs that the operators once left aside, against plain versions of the whole job."""
 
+import hashlib
 import json
 import re
 from collections import Counter
 
-from tablecare.llm import html_content, line_dedup, wordpiece_counts
+from tablecare.llm import html_content, line_dedup, secrets, wordpiece_counts
 from tablecare.llm.queries import QUERIES, vocabulary
 from tests.conftest import SMALL
 from tests.oracle import connect
@@ -72,3 +73,20 @@ def test_pages_without_head_end(spark):
     assert runs("<head><title>t</title></body>text") == runs("<head><meta>text") == ["text"]
     assert runs("<html><head><head><title>t</title><p>one") == ["one"]
     assert runs("<head><template><p>no</p></template></head><p>yes") == ["yes"]
+
+
+def test_secret_spans(spark):
+    words = vocabulary("word_bpe_49k.json")
+    key, jwt = "q7Zr2LkX9vB4nT6mW1cY", "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.dBjftJeZ4CVP-mB92K27uhbUJU1p1r_wW1gFWFOEjXk"
+    texts = [
+        ("é API_KEY=", key, " x"), ("run --token=", key, " x"), ("run --token ", "q7Zr2LkX", " x"), ("https://a.b/c?api_key=", key, "&page=2"), ("https://a.b/c?key=", key, "&page=2"),
+        ("Authorization: Bearer ", jwt, "\n"), ("see ", jwt, "."), ('é😀 {"password": "', "Ab!9x#z", '", "user": "bob"}'), ("password='", 'p"4,ss=w)rd', "'"), ("private key: ", "hUnter2!", ", user: bob"), ("f(token=", "ab12cd34", ",name=x)"),
+    ]
+    docs = spark.createDataFrame([(k, b + v + a, "src") for k, (b, v, a) in enumerate(texts)], "doc_id long, text string, source string")
+    found = [tuple(r) for r in secrets.find(docs, words).select("doc_id", "start", "length", "sha256").orderBy("doc_id").collect()]
+    assert found == [(k, len(b), len(v), hashlib.sha256(v.encode()).hexdigest()) for k, (b, v, _) in enumerate(texts)]
+    held = secrets.labelled_findings(1000, seed=31)
+    made = spark.createDataFrame([(k, b + v + a, p) for k, (v, b, a, p, _) in enumerate(held)], "doc_id long, text string, source string")
+    sure = {tuple(r)[:4] for r in secrets.scan(made, words).collect()}
+    real = {(k, len(b), len(v), hashlib.sha256(v.encode()).hexdigest()) for k, (v, b, _, _, y) in enumerate(held) if y}
+    assert len(sure & real) >= 0.97 * len(real) and len(sure - real) <= 0.03 * len(held)
