@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablecare.llm import chat, decontamination, html_content, jaccard_join, line_dedup, packing, quality, secrets, substring_dedup, wordpiece_counts
+from tablecare.llm import centroids, chat, decontamination, html_content, jaccard_join, line_dedup, packing, quality, secrets, substring_dedup, turn_repair, url_filter, wordpiece_counts
 from tablecare.llm.shipping import ship
 from tablecare.session import cut_lineage
 
@@ -150,3 +150,96 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     cutoffs = quality.fit_on(measured, table(spark, sf, "labels"))
     shown = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return measured.select("doc_id", *shown, quality.base_failed().alias("base_failed"), quality.verdict(cutoffs, F.col("lang")).alias("kept"))
+
+
+@query()
+def op11_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    rules = map(url_filter.Rule.read, ("allow com/", "block example.com/en/", "allow www.example.com/en/", "block net/es/", "block net/fr/"))
+    model = url_filter.train(spark.createDataFrame(url_filter.labelled_urls(), "url string, blocked int"))
+    judged = url_filter.judge(table(spark, sf, "pages"), model, rules)
+    return judged.select("row.page_id", "host", "path", "rule", "verdict")
+
+
+def _repair_sql() -> str:
+    """One step per turn: the best (cost, audit) of each of the states start (n), system (s), user (u), assistant (a)."""
+    far = "{'c': cast(1000000000 AS BIGINT), 'a': ''}"
+    add = lambda state, cost, letter: f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}'}}"
+    best = lambda *options: f"list_sort([{', '.join(options)}])[1]"
+    keep = lambda state, initial: f"CASE WHEN t.initial = '{initial}' AND t.fault NOT IN ('b', 'd') THEN {add(state, 't.open_end', 'K')} ELSE {far} END"
+    turn = lambda state: f"CASE WHEN t.fault NOT IN ('b', 'd') THEN {add(state, '1 + t.open_end', 'R')} ELSE {far} END"
+    gone = lambda state: add(state, 2, "D")
+    step_u = best(gone("v.u"), *[f(s) for s in ("v.n", "v.s", "v.a") for f in (lambda s: keep(s, "u"), turn)])
+    step_a = best(gone("v.a"), keep("v.u", "a"), turn("v.u"))
+    closed_u = best("u", add("n", 5, "I"), add("s", 5, "I"), add("a", 5, "I"))
+    blank = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+    WITH RECURSIVE raw AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            xor(4294967295, list_reduce(list_concat([cast(4294967295 AS BIGINT)], list_transform(string_split(coalesce(cast(conv_id AS VARCHAR), ' ') || ':' || coalesce(cast(turn AS VARCHAR), ' '), ''), lambda x: cast(ascii(x) AS BIGINT))),
+                lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) % 20 AS draw
+        FROM conversations
+    ),
+    hurt AS (
+        SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+            CASE WHEN draw = 1 THEN '' WHEN draw = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+            unnest(CASE WHEN draw = 3 THEN [0, 1] ELSE [0] END) AS copy
+        FROM raw WHERE draw <> 0
+    ),
+    marked AS (
+        SELECT conv_id, turn, role, text, left(role, 1) AS initial, trim(text, {blank}) AS bare,
+            row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS again,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text), copy) AS place
+        FROM hurt
+    ),
+    t AS (
+        SELECT *, CASE WHEN fault = 't' THEN 5 ELSE 0 END AS open_end
+        FROM (SELECT *, CASE WHEN bare = '' THEN 'b' WHEN again > 1 THEN 'd' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '-' END AS fault FROM marked)
+    ),
+    counts AS (
+        SELECT conv_id, max(place) AS size, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+            count(*) FILTER (WHERE fault = 'b') AS blank, count(*) FILTER (WHERE fault = 'd') AS duplicate, count(*) FILTER (WHERE fault = 't') AS truncated,
+            count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM (SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY place) || initial AS pair FROM t) GROUP BY conv_id
+    ),
+    v AS (
+        SELECT conv_id, cast(0 AS BIGINT) AS place, {{'c': cast(0 AS BIGINT), 'a': ''}} AS n, {far} AS s, {{'c': cast(5 AS BIGINT), 'a': 'I'}} AS u, {{'c': cast(10 AS BIGINT), 'a': 'II'}} AS a FROM counts
+        UNION ALL
+        SELECT conv_id, place, n, s, u, {best("a", add("u", 5, "I"))} AS a FROM (
+            SELECT conv_id, place, n, s, {closed_u} AS u, a FROM (
+                SELECT v.conv_id, t.place, {gone("v.n")} AS n, {best(gone("v.s"), keep("v.n", "s"))} AS s, {step_u} AS u, {step_a} AS a
+                FROM v JOIN t ON v.conv_id IS NOT DISTINCT FROM t.conv_id AND t.place = v.place + 1
+            )
+        )
+    ),
+    ends AS (SELECT c.*, {best("v.n", "v.a")} AS best FROM counts c JOIN v ON c.conv_id IS NOT DISTINCT FROM v.conv_id AND v.place = c.size),
+    letters AS (SELECT conv_id, best.a AS audit, unnest(generate_series(1, length(best.a))) AS spot FROM ends),
+    said AS (
+        SELECT l.conv_id, l.spot, substr(l.audit, l.spot, 1) AS letter, t.role, t.text, t.initial
+        FROM letters l LEFT JOIN t ON l.conv_id IS NOT DISTINCT FROM t.conv_id AND substr(l.audit, l.spot, 1) <> 'I' AND t.place = length(replace(left(l.audit, l.spot), 'I', ''))
+    ),
+    kept AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY spot) - CASE WHEN first(initial || letter) OVER (PARTITION BY conv_id ORDER BY spot) = 'sK' THEN 1 ELSE 0 END AS k FROM said WHERE letter <> 'D'),
+    named AS (SELECT conv_id, spot, CASE WHEN letter = 'K' THEN role WHEN k % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END AS line FROM kept),
+    lines AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY spot) AS whole FROM named GROUP BY conv_id)
+    SELECT o.conv_id, coalesce(e.gaps, 0) AS gaps, coalesce(e.blank, 0) AS blank, coalesce(e.duplicate, 0) AS duplicate, coalesce(e.truncated, 0) AS truncated,
+        coalesce(e.illegal, 0) AS illegal, coalesce(e.best.c, 0) AS cost, coalesce(e.best.a, '') AS audit, sha256(coalesce(l.whole, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) o
+    LEFT JOIN ends e ON o.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN lines l ON o.conv_id IS NOT DISTINCT FROM l.conv_id
+    """
+
+
+@query(_repair_sql())
+def op12_turn_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Faults of every damaged conversation, its cheapest edits and a digest of what they give."""
+    turns = turn_repair.damaged(table(spark, sf, "conversations"))
+    plans = cut_lineage(turn_repair.plan(turns))
+    ends = turn_repair.digests(turn_repair.repaired(turns, plans)).withColumnRenamed("conv", "at")
+    joined = plans.join(ends, plans["conv"].eqNullSafe(ends["at"]))
+    return joined.select(F.col("conv").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+@query()
+def op13_centroid_clustering(spark: SparkSession, sf: str) -> DataFrame:
+    """Cluster, distances and centroid digest of every usable embedding."""
+    found = centroids.cluster(table(spark, sf, "embeddings").select("vec_id", "embedding"))
+    return found.select("row.vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")

@@ -1,6 +1,7 @@
 """Plain versions of the operators, for small inputs."""
 
 import hashlib
+import math
 import re
 import struct
 import zlib
@@ -54,14 +55,14 @@ def measures(text):
 
 
 def later_lines(docs):
-    """Numbers of the lines of each row that match an earlier line; ``docs`` in the order of their ids."""
+    """Numbers of the lines of each row that match an earlier line, however few words they have; ``docs`` in the order of their ids."""
     seen, out = [], []
     for _, text in docs:
         gone = []
-        for number, line in enumerate(text.split("\n") if text is not None else []):
-            words = re.split("[\x09-\x0d\x20]+", line.lower().strip(" \t\x0b\x0c\r"))
-            if len(words) >= 5:
-                own = {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+        for number, line in enumerate((text or "").split("\n")):
+            words = re.findall("[^\x09-\x0d\x20]+", line.lower())
+            if words:
+                own = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
                 if any(100 * len(own & s) >= 80 * len(own | s) for s in seen):
                     gone.append(number)
                 seen.append(own)
@@ -69,6 +70,54 @@ def later_lines(docs):
     return out
 
 
+def cheapest_edits(initials, faults):
+    """(cost, audit) by keeping the best edits of every state turn by turn."""
+    far = (10**9, "")
+
+    def with_inserts(best):
+        for _ in range(3):
+            for state, (cost, audit) in list(best.items()):
+                after = "ua"["u" == state]
+                best[after] = min(best.get(after, far), (cost + 5, audit + "I"))
+        return best
+
+    best = with_inserts({"": (0, "")})
+    for initial, fault in zip(initials, faults):
+        after = {}
+        for state, (cost, audit) in best.items():
+            moves = [("D", 2, state)]
+            if fault not in "bd":
+                open_end, following = 5 * (fault == "t"), "ua"["u" == state]
+                moves.append(("R", 1 + open_end, following))
+                if initial == following or (initial, state) == ("s", ""):
+                    moves.append(("K", open_end, initial))
+            for letter, paid, to in moves:
+                after[to] = min(after.get(to, far), (cost + paid, audit + letter))
+        best = with_inserts(after)
+    return min(best.get("", far), best.get("a", far))
+
+
+def clusters(rows, k=16, rounds=3):
+    """(id, cluster, distance, cluster_inertia, inertia, centroid_sha256) of each usable (id, vector), every distance measured."""
+    used = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if v is not None and len(v) == 64 and all(x is not None and math.isfinite(x) for x in v)]
+    drawn = sorted(used, key=lambda r: (hashlib.sha256(f"1:{'null' if r[0] is None else r[0]}".encode()).hexdigest(), r[1]))
+    centers = [v for _, v in drawn[:k]]
+
+    def nearest(v):
+        return min((sum((x - y) ** 2 for x, y in zip(v, c)), n) for n, c in enumerate(centers))
+
+    for _ in range(rounds):
+        members = defaultdict(list)
+        for _, v in used:
+            members[nearest(v)[1]].append(v)
+        centers = [[sum(x) // len(members[n]) for x in zip(*members[n])] if n in members else c for n, c in enumerate(centers)]
+    found = [(i, *nearest(v)) for i, v in used]
+    total = Counter()
+    for _, distance, n in found:
+        total[n] += distance
+    return [(i, n, d, total[n], sum(total.values()), hashlib.sha256(",".join(map(str, centers[n])).encode()).hexdigest()) for i, d, n in found]
+
+
 def leaks(docs, items):
     """(doc_id, item_id) of every item with four fifths of its shingles in a document."""
 

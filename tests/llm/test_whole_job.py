@@ -2,35 +2,19 @@
 
 import hashlib
 import json
-import re
 from collections import Counter
 
 from tablecare.llm import html_content, line_dedup, secrets, wordpiece_counts
 from tablecare.llm.queries import QUERIES, vocabulary
 from tests.conftest import SMALL
+from tests.llm import brute
 from tests.oracle import connect
 
 
-def later_lines(docs):
-    """Numbers of the lines of each row that match an earlier line, however few words they have; ``docs`` in the order of their ids."""
-    seen, out = [], []
-    for _, text in docs:
-        gone = []
-        for number, line in enumerate(text.split("\n")):
-            words = re.findall("[^\x09-\x0d\x20]+", line.lower())
-            if words:
-                own = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
-                if any(100 * len(own & s) >= 80 * len(own | s) for s in seen):
-                    gone.append(number)
-                seen.append(own)
-        out.append(gone)
-    return out
-
-
 def test_line_dedup_of_short_lines(spark):
     texts = ["Home\n\none two three four\na b c d e f", "home \n \t\n two one three four\nONE  two three\tfour\na b c d", "a b c d\na b c d e\nHome\n\none", "home", "a b c d e f\n\n"]
     rows = list(enumerate(texts))
-    expected = {i: g for (i, _), g in zip(rows, later_lines(rows)) if g}
+    expected = {i: g for (i, _), g in zip(rows, brute.later_lines(rows)) if g}
     assert expected == {1: [0, 3], 2: [0, 2], 3: [0], 4: [0]}
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert {r["doc_id"]: r["removed"] for r in line_dedup.removed_per_document(docs).collect()} == expected
@@ -95,4 +79,4 @@ def test_secret_spans(spark):
 def test_line_query_judges_every_line(spark):
     rows = [tuple(r) for r in connect(SMALL).execute("SELECT doc_id, coalesce(text, '') FROM documents ORDER BY doc_id").fetchall()]
     found = {r["doc_id"]: r["removed_lines"] for r in QUERIES["op9_line_dedup"](spark, SMALL).collect()}
-    assert found == {i: ",".join(map(str, g)) for (i, _), g in zip(rows, later_lines(rows))}
+    assert found == {i: ",".join(map(str, g)) for (i, _), g in zip(rows, brute.later_lines(rows))}
