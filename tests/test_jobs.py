@@ -242,13 +242,6 @@ def test_other_statements_are_rejected(sql):
         g.check_readonly(sql)
 
 
-@pytest.mark.parametrize("call", ["reflect('java.lang.System', 'nanoTime')", "`java_method`('java.lang.System', 'nanoTime')", "try_reflect('java.lang.System', 'nanoTime')"])
-@pytest.mark.parametrize("frame", ["SELECT {}", "EXPLAIN SELECT {}", "SELECT 7 WHERE {} IS NULL"])
-def test_no_call_into_the_jvm(spark, call, frame):
-    with pytest.raises(g.Rejected):
-        g.readonly_frame(spark, frame.format(call))
-
-
 def test_console(spark):
     spark.range(20).withColumn("a", F.array("id")).createOrReplaceTempView("console_items")
     result = g.run_readonly(spark, "SELECT id, a, binary('ab') AS b, timestamp '2024-01-02 03:04:05' AS t FROM console_items ORDER BY id; ", 3)
