@@ -54,20 +54,73 @@ def best_overlap(wanted: frozenset[str], run: list[str]) -> float:
     return best
 
 
-def _score(term: str | None, text: str | None, known: dict[str, frozenset[str]]) -> float:
-    if not term or not text:
-        return 0.0
-    if term not in known:
-        known[term] = frozenset(word_trigrams(term))
-    return best_overlap(known[term], word_trigrams(text)) if known[term] else 0.0
+def _scores(terms: list[str | None], texts: list[str | None]) -> list[float]:
+    """The score of each pair; equal pairs are scored once, and texts and terms are cut once."""
+    cut: dict[str, list[str]] = {}
+    scored: dict[tuple[str | None, str | None], float] = {}
+    for pair in zip(terms, texts):
+        if pair in scored:
+            continue
+        term, text = pair
+        if not term or not text:
+            scored[pair] = 0.0
+            continue
+        for part in pair:
+            if part not in cut:
+                cut[part] = word_trigrams(part)
+        scored[pair] = best_overlap(frozenset(cut[term]), cut[text]) if cut[term] else 0.0
+    return [scored[pair] for pair in zip(terms, texts)]
 
 
 @F.pandas_udf(T.DoubleType())
 def _word_similarity(terms: pd.Series, texts: pd.Series) -> pd.Series:
-    known: dict[str, frozenset[str]] = {}
-    return pd.Series([_score(term, text, known) for term, text in zip(terms, texts)], dtype="float64")
+    return pd.Series(_scores(terms.tolist(), texts.tolist()), dtype="float64")
 
 
 def word_similarity(term: Column, text: Column) -> Column:
     """How well ``term`` matches some stretch of ``text``, from 0 to 1 (NULL counts as empty)."""
     return _word_similarity(term, text)
+
+
+def plain_words(text: Column) -> Column:
+    """The words of a text in lower case with one blank between them; NULL counts as empty."""
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
+
+
+def padded_words(words: Column) -> Column:
+    """:func:`plain_words` with two blanks before and one after each word, so that every trigram of a word is a substring of it."""
+    return F.when(words == "", "").otherwise(F.concat(F.lit("  "), F.replace(words, F.lit(" "), F.lit("   ")), F.lit(" ")))
+
+
+FORMS = ((0, 0), (0, 1), (2, 0), (2, 1))
+"""Letters that a form of a padded term lacks at its start and its end; so many trigrams it lacks there."""
+
+
+def term_facts(words: Column) -> Column:
+    """What bounds need of a term's :func:`plain_words`: words, wanted, and a text and a score of each form.
+
+    ``wanted`` are its distinct trigrams. A form is a substring of a padded text that proves a score: the whole term, the term without
+    its end, without its start, without both.
+    """
+    cut = lambda w: F.transform(F.sequence(F.lit(1), F.length(w) + 1), lambda i: F.substring(F.concat(F.lit("  "), w, F.lit(" ")), i, 3))
+    run = F.when(words == "", F.array().cast("array<string>")).otherwise(F.flatten(F.transform(F.split(words, " "), cut)))
+    padded, size, wanted = padded_words(words), F.size(run), F.array_distinct(run)
+
+    def form(skip: int, drop: int) -> list[Column]:
+        part = F.slice(run, skip + 1, F.greatest(size - skip - drop, F.lit(0)))
+        proof = F.substring(padded, F.lit(skip + 1), F.length(padded) - skip - drop)
+        score = F.size(F.array_distinct(part)) / F.greatest(F.size(wanted), F.lit(1))
+        return [proof.alias(f"form_{skip}{drop}"), F.when(proof == "", 0.0).otherwise(score).alias(f"score_{skip}{drop}")]
+
+    return F.struct(words.alias("words"), wanted.alias("wanted"), *[c for skip, drop in FORMS for c in form(skip, drop)])
+
+
+def similarity_bounds(facts: Column, padded: Column) -> tuple[Column, Column]:
+    """(at least, at most) the word similarity of a term and a text with these :func:`padded_words`, without looking at its runs.
+
+    A run that is a form of the term has no other trigram, so its share of the term's trigrams is reached; and no run can share more
+    trigrams than the text does. Mostly the two are equal, and then they are the score.
+    """
+    proven = [F.when(F.contains(padded, facts[f"form_{s}{d}"]), facts[f"score_{s}{d}"]).otherwise(F.lit(0.0)) for s, d in FORMS]
+    shared = F.size(F.filter(facts["wanted"], lambda g: F.contains(padded, g)))
+    return F.greatest(*proven), shared / F.greatest(F.size(facts["wanted"]), F.lit(1))

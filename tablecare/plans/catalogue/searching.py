@@ -42,23 +42,6 @@ def _terms(spark: SparkSession, sf: str) -> DataFrame:
     return words.select(F.explode(forms).alias("term")).distinct().withColumn("query_id", F.col("term"))
 
 
-@query(
-    SIMILARITY
-    + """
-    SELECT term AS query_id, p_partkey, round(relevance, 6) AS relevance, position FROM (
-        SELECT s.term, p.p_partkey, s.relevance,
-               row_number() OVER (PARTITION BY s.term ORDER BY s.relevance DESC, p.p_partkey) AS position
-        FROM scored s JOIN part p ON p.p_name = s.p_name)
-    WHERE position <= 8
-    """
-)
-def search_similarity(spark: SparkSession, sf: str) -> DataFrame:
-    """The best 8 parts per term by word similarity."""
-    parts = read_table(spark, sf, "part", ["p_partkey", "p_name"])
-    found = s.search(_terms(spark, sf), parts, ["p_name"], corpus_id="p_partkey")
-    return found.withColumn("relevance", F.round("relevance", 6)).withColumn("position", F.col("position").cast("bigint"))
-
-
 @query(
     TERMS
     + """
@@ -86,6 +69,60 @@ def search_exact(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("position", F.col("position").cast("bigint"))
 
 
+BEST_PARTS = (
+    SIMILARITY
+    + """
+    SELECT term AS query_id, p_partkey, round(relevance, 6) AS relevance, position FROM (
+        SELECT s.term, p.p_partkey, s.relevance,
+               row_number() OVER (PARTITION BY s.term ORDER BY s.relevance DESC, p.p_partkey) AS position
+        FROM scored s JOIN part p ON p.p_name = s.p_name)
+    WHERE position <= 8
+    """
+)
+
+
+def _best_parts(spark: SparkSession, sf: str, **strategy: int) -> DataFrame:
+    parts = read_table(spark, sf, "part", ["p_partkey", "p_name"])
+    found = s.search(_terms(spark, sf), parts, ["p_name"], corpus_id="p_partkey", **strategy)
+    return found.withColumn("relevance", F.round("relevance", 6)).withColumn("position", F.col("position").cast("bigint"))
+
+
+@query(BEST_PARTS)
+def search_similarity(spark: SparkSession, sf: str) -> DataFrame:
+    """The best 8 parts per term by word similarity."""
+    return _best_parts(spark, sf)
+
+
+@query(BEST_PARTS)
+def search_by_gram(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with the terms filed by grams and sent to every task, as for more terms than tests fit a plan."""
+    return _best_parts(spark, sf, few=0)
+
+
+@query(BEST_PARTS)
+def search_by_shuffled_gram(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with ids and terms shuffled by gram, as for more terms than a task can hold."""
+    return _best_parts(spark, sf, few=0, broadcast_up_to=0)
+
+
+@query(
+    SIMILARITY
+    + """
+    SELECT term AS query_id, p_partkey, p_name, p_type, p_size, p_brand, round(relevance, 6) AS relevance, position FROM (
+        SELECT s.term, p.*, s.relevance,
+               row_number() OVER (PARTITION BY s.term ORDER BY s.relevance DESC, p.p_partkey) AS position
+        FROM scored s JOIN part p ON p.p_name = s.p_name WHERE p_type LIKE '%STEEL' OR p_size > 40)
+    WHERE position <= 8
+    """
+)
+def search_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    """The best 8 parts per term among those of some kinds, with their columns."""
+    kinds = F.col("p_type").endswith("STEEL") | (F.col("p_size") > 40)
+    shown = ["p_name", "p_type", "p_size", "p_brand"]
+    found = s.search(_terms(spark, sf), read_table(spark, sf, "part"), ["p_name"], corpus_id="p_partkey", where=kinds, show=shown)
+    return found.withColumn("relevance", F.round("relevance", 6)).withColumn("position", F.col("position").cast("bigint"))
+
+
 @query(
     TERMS
     + """

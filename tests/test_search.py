@@ -4,9 +4,9 @@ import subprocess
 import sys
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from tablecare.functions.similarity import best_overlap, word_similarity, word_trigrams
+from tablecare.functions.similarity import best_overlap, padded_words, plain_words, similarity_bounds, term_facts, word_similarity, word_trigrams
 from tablecare.operators import searching as s
 from tests.conftest import SMALL, plan_of
 
@@ -80,6 +80,65 @@ def test_ranking_breaks_ties_by_date_then_id(catalogue, queries, few):
     assert (exact["id"], exact["relevance"]) == (6, 1.0)
 
 
+def words_of(seed, rows, letters="abcé1_ -", size=14):
+    dice = random.Random(seed)
+    return ["".join(dice.choices(letters, k=dice.randint(1, size))) for _ in range(rows)]
+
+
+def test_bounds_enclose_the_similarity(frame):
+    pairs = list(zip(words_of(5, 1500, size=7), words_of(6, 1500, size=22))) + [("--", "a"), ("ab", None), ("a", "a"), ("ab c", "xab c"), ("ΣΑΣ", "ein σας")]
+    df = frame(pairs, "term string, text string").withColumn("facts", term_facts(plain_words(F.col("term"))))
+    low, high = similarity_bounds(F.col("facts"), padded_words(plain_words(F.col("text"))))
+    known = 0
+    for r in df.select("term", "text", low.alias("low"), high.alias("high")).collect():
+        score = brute_force(r["term"], r["text"] or "")
+        assert r["low"] <= score <= r["high"], r
+        known += r["low"] == r["high"]
+    assert known > 500
+
+
+def all_scored(queries, corpus, columns, k):
+    """The best rows where every candidate is scored by its runs."""
+    found = s.candidates(queries, corpus, "query_id", "term", "id", columns)
+    score = F.greatest(*[word_similarity(F.col("_term"), F.coalesce(c, F.lit(""))) for c in columns], F.lit(0.0))
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc_nulls_last("day"), "id"))
+    return found.withColumn("score", score).withColumn("place", place).where(F.col("place") <= k).select("query_id", "id", "score", "place")
+
+
+@pytest.mark.parametrize("few, most", [(512, 10**6), (0, 10**6), (0, 0)])
+@pytest.mark.parametrize("k", [1, 4])
+def test_bounded_search_equals_scoring_everything(frame, rows, few, most, k):
+    dice = random.Random(8)
+    catalogue = frame([(i, a, b, dice.choice([None, "2024-01-01", "2024-01-02"])) for i, (a, b) in enumerate(zip(words_of(1, 400, size=20), words_of(2, 400) [:390] + [None] * 10))], "id int, name string, other string, day string")
+    queries = frame(list(enumerate(words_of(3, 60, size=4))) + [(None, "ab"), (7, "a")], "query_id int, term string")
+    found = s.search(queries, catalogue, ["name", "other"], date="day", k=k, few=few, broadcast_up_to=most)
+    assert rows(found) == rows(all_scored(queries, catalogue, ["name", "other"], k)) and found.count() > 40
+
+
+def test_few_candidates_are_scored_by_their_runs(spark):
+    parts = spark.read.parquet(f"{SMALL}/part.parquet").withColumn("_padded_0", padded_words(plain_words(F.col("p_name"))))
+    queries = parts.select(F.explode(F.split("p_name", " ")).alias("w")).select(F.explode(F.array("w", F.substring("w", 1, 2))).alias("term")).distinct().withColumn("query_id", F.col("term"))
+    found = s.candidates(queries, parts, "query_id", "term", "p_partkey", ["p_name"], facts=True).withColumn("_date", F.lit(None).cast("timestamp"))
+    known, open_ = s.bounded_similarity(found, "query_id", "p_partkey", ["_padded_0"], [], 8)
+    assert open_.count() < 0.05 * found.count() and known.groupBy("query_id").count().agg(F.max("count")).first()[0] == 8
+    plan = plan_of(s.search(queries, parts, ["p_name"], corpus_id="p_partkey"))
+    assert plan.count("ArrowEvalPython") == 1 and "WindowGroupLimit" in plan
+
+
+def test_a_gram_in_every_row_is_dealt_to_many_tasks(spark, frame):
+    corpus = spark.range(4000).select("id", F.lit("common words").alias("name"))
+    queries = frame([(1, "common"), (2, "words"), (3, "on w")], "query_id int, term string")
+    found = s.candidates(queries, corpus, "query_id", "term", "id", ["name"], 0, 0)
+    assert found.groupBy("query_id").count().collect() and found.count() == 12_000
+    assert "_salt" in plan_of(found)
+
+
+def test_filter_and_shown_columns(catalogue, queries, rows):
+    found = s.search(queries, catalogue, ["name"], where=F.col("id") > 1, show=["other", "id", "day"], k=2)
+    assert found.columns == ["query_id", "id", "other", "day", "relevance", "position"]
+    assert {r["id"] for r in found.where("query_id = 3").collect()} == {9} and found.where("other IS NOT NULL").count() > 0
+
+
 def test_limit_is_clamped_and_no_terms_give_no_rows(spark, catalogue, queries):
     assert s.search(queries, catalogue, ["name"], k=0).groupBy("query_id").count().agg(F.max("count")).first()[0] == 1
     assert s.search(queries.where("query_id < 0"), catalogue, ["name"]).count() == 0
