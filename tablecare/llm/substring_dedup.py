@@ -31,6 +31,9 @@ PLACES = WINDOW - ANCHOR + 1
 LARGEST_GROUP = 2000
 """Different fragments of an anchor that one task sorts; an anchor with more is split."""
 
+PART_BYTES = 1 << 20
+"""Bytes that are cut into fragments together; a longer text is cut in parts that overlap by a window, so memory does not grow with it."""
+
 SORTED_BYTES = 1 << 20
 """Bytes whose suffixes are sorted together; small groups share a sort."""
 
@@ -77,11 +80,14 @@ def _fragments(texts: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             about = [batch.column(i).to_numpy() for i in range(3)]
-            for row, _, data, offsets in slices(batch.column(3)):
-                text, start, windows, place, anchor, content = fragments_of(data, offsets)
-                own = [c[row + text] for c in about]
-                columns = [*own, start, windows, place, anchor.view(np.int64), content.view(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "copies", "start", "windows", "place", "anchor", "content"])
+            for row, _, data, offsets in slices(batch.column(3), PART_BYTES):
+                for before in range(0, max(1, len(data) - WINDOW + 1), PART_BYTES):
+                    part = data[before : before + PART_BYTES + WINDOW - 1]
+                    ends = offsets if len(offsets) > 2 else np.array([0, len(part)], np.int64)
+                    text, start, windows, place, anchor, content = fragments_of(part, ends)
+                    own = [c[row + text] for c in about]
+                    columns = [*own, start + before, windows, place, anchor.view(np.int64), content.view(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "copies", "start", "windows", "place", "anchor", "content"])
 
     return texts.select("a", "b", "copies", "text").mapInArrow(cut, "a long, b long, copies long, start long, windows long, place long, anchor long, content long")
 

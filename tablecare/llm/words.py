@@ -35,20 +35,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(size, _BASE, np.uint64), np.full(size, _INVERSE, np.uint64)
     up[0] = down[0] = 1
-    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+    return np.cumprod(up, out=up), np.cumprod(down, out=down)
+
+
+_longest = [1 << 16]
 
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse modulo 2**64, at least ``size`` of them."""
-    return _powers(max(SLICE_BYTES + 1, 1 << int(size).bit_length()))
+    """Powers of the hash base and of its inverse modulo 2**64, at least ``size`` of them; as many as the longest slice so far asked for."""
+    _longest[0] = max(_longest[0], 1 << int(size).bit_length())
+    return _powers(_longest[0])
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row, bytes, offsets) of parts of an Arrow string column; a null text is empty."""
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, last row, bytes, offsets) of parts of an Arrow string column of ``most`` bytes, or of one longer text; a null text is empty."""
     texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
     texts = texts.fill_null("").cast(pa.large_string())
     if not len(texts):
@@ -58,7 +62,7 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
     data = np.frombuffer(buffer, np.uint8) if buffer is not None and buffer.size else np.zeros(0, np.uint8)
     first = 0
     while first < len(texts):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most, "right")) - 1)
         yield first, last, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
 
