@@ -196,11 +196,14 @@ def labelled_findings(count: int = 4000, seed: int = 11) -> list[tuple[str, str,
 def train(spark: SparkSession, vocabulary: str, labelled: list[tuple[str, str, str, str, int]], trees: int = 40, depth: int = 8, seed: int = 5) -> RandomForestClassificationModel:
     """A forest from labelled findings; their number is a bound that the caller sets.
 
-    It learns from the candidates of the labelled texts, as a scan finds them: the finding has its label, any other is not real.
+    It learns from the candidates of the labelled texts, as a scan finds them: the finding has its label, any other is not real. The
+    rows lie in one partition, from which the trees draw, so the forest is the same on every cluster.
     """
     words = dictionary(vocabulary)
     rows = [(*shown, float(y == 1 and (start, value) == (len(b), v))) for v, b, a, p, y in labelled for start, value, shown in look(b + v + a, p, words)]
-    data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(spark.createDataFrame(rows, [*FEATURES, "label"]))
+    if not rows:
+        raise ValueError("no labelled findings with a candidate")
+    data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(spark.createDataFrame(rows, [*FEATURES, "label"]).coalesce(1))
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol="features", labelCol="label").fit(data.select("features", "label"))
 
 
@@ -213,5 +216,5 @@ def judge(found: DataFrame, model: RandomForestClassificationModel) -> DataFrame
 
 def scan(docs: DataFrame, vocabulary: str, labelled: list[tuple[str, str, str, str, int]] | None = None, doc_id: str = "doc_id", text: str = "text", path: str = "source", least: float = 0.5) -> DataFrame:
     """(doc_id, start, length, sha256, score) of the findings that are taken for real."""
-    model = train(docs.sparkSession, vocabulary, labelled or labelled_findings())
+    model = train(docs.sparkSession, vocabulary, labelled_findings() if labelled is None else labelled)
     return judge(find(docs, vocabulary, doc_id, text, path), model).where(F.col("score") >= least)

@@ -1,13 +1,16 @@
 """The registered queries over whole tables, against SQL or plain versions, and the pipeline stage by stage."""
 
+import hashlib
 import os
+import re
 from collections import Counter
 
 import pytest
 
 import corpus_pipeline
+from tablecare.llm import secrets
 from tablecare.llm.jaccard_join import Similarity
-from tablecare.llm.queries import ORACLES, QUERIES
+from tablecare.llm.queries import ORACLES, QUERIES, vocabulary
 from tests.conftest import SMALL
 from tests.llm import brute
 from tests.oracle import compare, connect
@@ -55,9 +58,31 @@ def test_quality_query(spark, rows):
         assert not (found[i]["base_failed"] and found[i]["kept"])
 
 
-@pytest.mark.parametrize("name", ["op2_html_extraction", "op5_token_counts", "op7_secret_scan"])
-def test_query_runs(spark, name):
-    assert QUERIES[name](spark, SMALL).count() > 0
+def test_secret_query(spark):
+    """All findings are credentials that stand in ``token = "..."``, none of those is missed; places and hashes by plain Python."""
+    larger = SMALL.replace("0.001", "0.01")
+    rows = connect(larger).execute("SELECT doc_id, coalesce(text, '') FROM documents").fetchall()
+    planted = Counter((i, m.start(1), len(m[1]), hashlib.sha256(m[1].encode()).hexdigest()) for i, t in rows for m in re.finditer(r'token = "([0-9a-f]{40})"', t))
+    assert len(planted) > 10 and Counter(tuple(r)[:4] for r in QUERIES["op7_secret_scan"](spark, larger).collect()) == planted
+
+
+def test_the_forest_does_not_depend_on_partitions(spark, monkeypatch):
+    texts = secrets.labelled_findings(300, seed=8)
+    docs = spark.createDataFrame([(k, b + v + a, p) for k, (v, b, a, p, _) in enumerate(texts)], "doc_id long, text string, source string")
+    scores = lambda: sorted(map(tuple, secrets.judge(secrets.find(docs, words), secrets.train(spark, words, secrets.labelled_findings(600))).collect()))
+    words, make = vocabulary("word_bpe_49k.json"), type(spark).createDataFrame
+    first = scores()
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **k: make(self, data, *a, **k).coalesce(2))
+    assert scores() == first and len(first) > 200 and len({s[-1] for s in first}) > 5
+    monkeypatch.undo()
+    with pytest.raises(ValueError):
+        secrets.train(spark, words, [])
+
+
+def test_page_query(spark):
+    found = QUERIES["op2_html_extraction"](spark, SMALL).collect()
+    assert sorted((r["page_id"], r["url"]) for r in found) == sorted(connect(SMALL).execute("SELECT page_id, url FROM pages").fetchall())
+    assert all(r["n_chars"] == len(r["text"]) > 0 for r in found)
 
 
 def test_pipeline_stage_by_stage(spark, tmp_path):
