@@ -182,10 +182,11 @@ def _profiled(name: str, columns: list[tuple[str, str]]) -> str:
     parts = []
     for i, (column, kind) in enumerate(columns):
         longest = f"CAST(max(length({column})) AS int)" if kind == "string" else "0"
+        bounds = ["CAST(NULL AS varchar)"] * 2 if kind.startswith("array") else [f"CAST({bound}({column}) AS varchar)" for bound in ("min", "max")]
         parts.append(
             f"""SELECT '{name}' AS "table", {i + 1} AS position, '{column}' AS "column", '{kind}' AS type, true AS nullable,
             count(*) - count({column}) AS nulls, count(DISTINCT {column}) AS distinct_values,
-            CAST(min({column}) AS varchar) AS min_value, CAST(max({column}) AS varchar) AS max_value, {longest} AS longest
+            {bounds[0]} AS min_value, {bounds[1]} AS max_value, {longest} AS longest
             FROM {name}"""
         )
     return " UNION ALL ".join(parts)
@@ -208,16 +209,54 @@ CUSTOMER = [
 ]
 
 
-@query(_profiled("orders", ORDERS) + " UNION ALL " + _profiled("customer", CUSTOMER))
+TABLES = {
+    "region": [("r_regionkey", "int"), ("r_name", "string")],
+    "nation": [("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int")],
+    "customer": CUSTOMER,
+    "supplier": [("s_suppkey", "bigint"), ("s_name", "string"), ("s_nationkey", "int"), ("s_acctbal", "double")],
+    "part": [("p_partkey", "bigint"), ("p_name", "string"), ("p_brand", "string"), ("p_type", "string"), ("p_size", "int"), ("p_retailprice", "double")],
+    "orders": ORDERS,
+    "lineitem": [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"), ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double"), ("l_returnflag", "string"), ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz")],
+    "events": [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"), ("event_type", "string"), ("value", "double"), ("props", "string")],
+    "documents": [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint")],
+    "embeddings": [("vec_id", "bigint"), ("embedding", "array<float>"), ("label", "int")],
+    "pages": [("page_id", "bigint"), ("url", "string"), ("html", "string")],
+    "benchmark": [("item_id", "bigint"), ("text", "string")],
+    "labels": [("doc_id", "bigint"), ("quality", "int"), ("toxic", "int")],
+    "conversations": [("conv_id", "bigint"), ("turn", "bigint"), ("role", "string"), ("text", "string")],
+}
+
+
+@query(" UNION ALL ".join(_profiled(name, columns) for name, columns in TABLES.items()))
 def column_profile(spark: SparkSession, sf: str) -> DataFrame:
-    """Every column of two tables."""
-    return inventory.inventory(spark, sf, ["orders", "customer"]).na.fill(0, ["longest"])
+    """Every column of every table."""
+    return inventory.inventory(spark, sf, list(TABLES)).na.fill(0, ["longest"])
 
 
-@query()
+@query(
+    "SELECT \"table\", position, \"column\", type, nullable, nulls, min_value, max_value, longest, true AS near FROM ("
+    + " UNION ALL ".join(_profiled(name, TABLES[name]) for name in ("lineitem", "events", "documents"))
+    + ")"
+)
+def profile_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Profiles of the parts of three tables, stored and added up; whether each estimated count is near the exact one."""
+    folder = run_folder(spark)
+    parts = {"lineitem": F.date_format("l_shipdate", "yyyy-MM"), "events": F.to_date("ts"), "documents": F.col("lang")}
+    for name, part in parts.items():
+        made = inventory.profile_parts(read_table(spark, sf, name), name, part)
+        made.write.mode("append").parquet(table_path(folder, "parts"))
+    merged = inventory.merged_profile(spark.read.parquet(table_path(folder, "parts"))).na.fill(0, ["longest"])
+    exact = inventory.inventory(spark, sf, list(parts)).select("table", "position", F.col("distinct_values").alias("exact"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= 0.04 * F.col("exact") + 1
+    return merged.join(exact, ["table", "position"]).withColumn("near", near).drop("distinct_values", "exact")
+
+
+@query(
+    " UNION ALL ".join(f"SELECT '{name}' AS \"table\", count(*) AS n_rows, true AS sized FROM {name}" for name in TABLES)
+)
 def table_profile(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows and bytes per table, largest first."""
-    return inventory.profile(spark, sf)
+    """Rows per table, and whether it takes space on disk."""
+    return inventory.profile(spark, sf, list(TABLES)).select("table", "n_rows", (F.col("bytes") > 0).alias("sized"))
 
 
 def _altered(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -241,6 +280,24 @@ def reconcile_rows(spark: SparkSession, sf: str) -> DataFrame:
     return reconciling.reconcile_rows(*_altered(spark, sf), ["o_orderkey"])
 
 
+@query(
+    """
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+           CASE WHEN l_orderkey % 997 = 0 THEN 'missing' WHEN l_orderkey % 991 = 0 THEN 'changed' ELSE 'extra' END AS status
+    FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem GROUP BY ALL)
+    WHERE l_orderkey % 997 = 0 OR l_orderkey % 991 = 0 OR l_orderkey % 983 = 0
+    """
+)
+def reconcile_by_bucket(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines against a copy in which few rows are missing, changed or new."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    lines = read_table(spark, sf, "lineitem").groupBy(*keys).agg(F.sum("l_quantity").alias("quantity"), F.max("l_shipdate").alias("shipped"))
+    number = F.col("l_orderkey")
+    copy = lines.where(number % 997 != 0).withColumn("quantity", F.when(number % 991 == 0, -1.0).otherwise(F.col("quantity")))
+    source = lines.where((number % 983 != 0) | (number % 991 == 0) | (number % 997 == 0))
+    return reconciling.reconcile_by_bucket(source, copy, keys)
+
+
 @query(
     f"""
     SELECT 'orders' AS "table", source_rows, copy_rows, copy_rows - source_rows AS difference,

@@ -63,29 +63,48 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return state.select("event_id", F.unix_micros("ts").alias("micros"), "user_id", "event_type", "value")
 
 
-@query("SELECT DISTINCT user_id, event_type FROM events")
+@query(
+    """
+    SELECT event_id, epoch_us(ts) AS micros, user_id, event_type, value, props FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1
+    """
+)
 def stream_keep_first(spark: SparkSession, sf: str) -> DataFrame:
-    """The keys a keep-first stream has let through, each once."""
-    folder = run_folder(spark)
-    jobs.start_keep_first(
-        _stream(spark, sf), f"{folder}/out", f"{folder}/state", ["user_id", "event_type"], "ts", "40 days"
-    ).awaitTermination()
-    return spark.read.parquet(f"{folder}/out").select("user_id", "event_type")
+    """The first row of each key that a keep-first stream has let through."""
+    folder, keys = run_folder(spark), ["user_id", "event_type"]
+    order = ["ts", "event_id"]
+    jobs.start_firsts(_stream(spark, sf), folder, f"{folder}/state", keys, "ts", order=order).awaitTermination()
+    return jobs.firsts(spark, folder).select("event_id", F.unix_micros("ts").alias("micros"), *keys, "value", "props")
 
 
-@query("SELECT user_id, epoch_us(min(ts)) AS micros FROM events WHERE event_type = 'error' GROUP BY user_id")
+@query(
+    """
+    SELECT user_id, epoch_us(ts) AS micros, event_id, value FROM events WHERE event_type = 'error'
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1
+    """
+)
 def stream_first_occurrence(spark: SparkSession, sf: str) -> DataFrame:
-    """Users whose first error a stateful stream has reported."""
+    """Users with their first error, as a stream with a memory of 400 days has reported it."""
     folder = run_folder(spark)
     errors = _stream(spark, sf).where("event_type = 'error'")
-    firsts = jobs.first_occurrence_stream(errors, ["user_id"], "ts", "40 days", 90 * 24 * 3600 * 1000)
-    (
-        firsts.writeStream.format("parquet")
-        .option("path", f"{folder}/out")
-        .option("checkpointLocation", f"{folder}/state")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return spark.read.parquet(f"{folder}/out").select("user_id", F.unix_micros("ts").alias("micros"))
+    order = ["ts", "event_id"]
+    jobs.start_firsts(errors, folder, f"{folder}/state", ["user_id"], "ts", "400 days", order).awaitTermination()
+    return jobs.firsts(spark, folder).select("user_id", F.unix_micros("ts").alias("micros"), "event_id", "value")
+
+
+@query(
+    """
+    SELECT event_id, epoch_us(ts) AS micros, user_id, event_type, value FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
+    """
+)
+def stream_upsert_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The same upsert in six batches, folded after every second one."""
+    folder, keys = run_folder(spark), ["user_id", "event_type"]
+    arriving = read_table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    arriving.repartition(6, "event_id").write.parquet(f"{folder}/arriving")
+    source = spark.readStream.schema(arriving.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/arriving")
+    order = [F.col("ts").desc(), F.col("event_id").desc()]
+    jobs.start_upsert(source, folder, f"{folder}/state", keys, order, fold_every=2).awaitTermination()
+    state = jobs.current(spark, folder, keys, order)
+    return state.select("event_id", F.unix_micros("ts").alias("micros"), "user_id", "event_type", "value")

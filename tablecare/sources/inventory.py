@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from tablecare.sources.tables import list_tables, read_table
+from tablecare.session import dealt_out
+from tablecare.sources.tables import exists, list_tables, read_table
 
 COMPLEX = (T.ArrayType, T.MapType, T.StructType, T.VariantType, T.BinaryType)
-PROFILE_LIST = 100
 
 
 def _bound(kind, field: T.StructField) -> Column:
@@ -31,17 +32,27 @@ def _as_text(field: T.StructField) -> Column:
     return column.cast("string")
 
 
+def _hashable(field: T.StructField) -> Column:
+    """A value of a type that can be hashed; equal values stay equal."""
+    column = F.col(field.name)
+    return F.to_json(F.struct(column)) if isinstance(field.dataType, (T.MapType, T.VariantType, T.StructType, T.ArrayType)) else column
+
+
 def _distinct_counts(df: DataFrame) -> DataFrame:
-    """Distinct values per column position: (column, value) pairs are combined map-side, then counted."""
-    pairs = [F.struct(F.lit(i + 1).alias("position"), _as_text(f).alias("value")) for i, f in enumerate(df.schema.fields)]
-    long = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
+    """Distinct values per column position. Values are named by 128 bits of hash, so a cell costs 20 bytes of shuffle at most,
+    however long it is; equal ones of a task are one before that."""
+    named = [
+        F.struct(F.lit(i + 1).alias("position"), *[F.when(F.col(f.name).isNotNull(), F.xxhash64(F.lit(seed), _hashable(f))).alias(h) for seed, h in ((1, "a"), (2, "b"))])
+        for i, f in enumerate(df.schema.fields)
+    ]
+    long = dealt_out(df).select(F.inline(F.array(*named))).where(F.col("a").isNotNull())
     return long.distinct().groupBy("position").agg(F.count(F.lit(1)).alias("distinct_values"))
 
 
 def column_profile(df: DataFrame, table: str, distinct: str = "exact") -> DataFrame:
     """One row per column: type, position, nullability, NULLs, distinct values, bounds, longest text.
 
-    One aggregation serves all columns. Exact distinct counts take a second one over (column, value)
+    One aggregation serves all columns. Exact distinct counts take a second one over (column, hash of the value)
     pairs; ``distinct='approx'`` stays with the first.
     """
     if distinct not in ("exact", "approx"):
@@ -80,6 +91,85 @@ def column_profile(df: DataFrame, table: str, distinct: str = "exact") -> DataFr
     return profiled.select(*order)
 
 
+BOUND = "struct<first:decimal(38,18),second:double,third:string,shown:string>"
+
+SKETCH_BITS = 14
+"""Logarithm of the counters of a sketch: 16 384 of them are off by about 0.8 %, at 12 to 16 KB a sketch."""
+
+
+def _order(field: T.StructField) -> list[Column]:
+    """What puts the values of a column in order, as parts of one type for all columns: exact number, floating number, text."""
+    column, kind = F.col(field.name), field.dataType
+    exact, number, text = F.lit(None).cast("decimal(38,18)"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    if isinstance(kind, T.BooleanType):
+        exact = column.cast("int").cast("decimal(38,18)")
+    elif isinstance(kind, T.DecimalType):
+        exact, number = column.try_cast("decimal(38,18)"), column.cast("double")
+    elif isinstance(kind, T.IntegralType):
+        exact = column.cast("decimal(38,18)")
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        number = column.cast("double")
+    elif isinstance(kind, T.TimestampType):
+        exact = F.unix_micros(column).cast("decimal(38,18)")
+    elif isinstance(kind, T.TimestampNTZType):
+        text = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    else:
+        text = column.cast("string")
+    return [number, exact, text] if isinstance(kind, T.DecimalType) else [exact, number, text]
+
+
+def profile_parts(df: DataFrame, table: str, part: Column | None = None) -> DataFrame:
+    """One row per part and column that :func:`merged_profile` can add up: counts, bounds, longest text, and a sketch of the values.
+
+    ``part`` names the part of each row, such as a day or a file; without it the table is one part. A sketch has a fixed size, whatever
+    the number of values.
+    """
+    aggregates, lines = [F.count(F.lit(1)).alias("_rows")], []
+    for i, field in enumerate(df.schema.fields):
+        column, plain = F.col(field.name), not isinstance(field.dataType, COMPLEX)
+        bound = F.struct(*[o.alias(n) for o, n in zip(_order(field), ("first", "second", "third"))], column.cast("string").alias("shown")) if plain else None
+        low, high = [F.lit(None).cast(BOUND)] * 2 if bound is None else [kind(F.when(column.isNotNull(), bound)).cast(BOUND) for kind in (F.min, F.max)]
+        longest = F.max(F.char_length(column)) if isinstance(field.dataType, T.StringType) else F.lit(None)
+        aggregates += [F.count(column).alias(f"_known_{i}"), low.alias(f"_low_{i}"), high.alias(f"_high_{i}"), longest.cast("int").alias(f"_longest_{i}")]
+        aggregates.append(F.hll_sketch_agg(_as_text(field), F.lit(SKETCH_BITS)).alias(f"_sketch_{i}"))
+        about = [F.lit(v).alias(n) for n, v in (("table", table), ("position", i + 1), ("column", field.name), ("type", field.dataType.simpleString()), ("nullable", field.nullable))]
+        lines.append(F.struct("part", *about, F.col("_rows").alias("n_rows"), (F.col("_rows") - F.col(f"_known_{i}")).alias("nulls"), *[F.col(f"_{n}_{i}").alias(n) for n in ("low", "high", "longest", "sketch")]))
+    name = (F.lit("") if part is None else part.cast("string")).alias("part")
+    return df.groupBy(name).agg(*aggregates).select(F.inline(F.array(*lines)))
+
+
+def merged_profile(parts: DataFrame) -> DataFrame:
+    """The profile of all ``parts`` of :func:`profile_parts` together, as :func:`column_profile` with estimated distinct counts.
+
+    Only the parts are read, not the data.
+    """
+    merged = parts.groupBy("table", "position", "column", "type").agg(
+        F.max("nullable").alias("nullable"), F.sum("nulls").alias("nulls"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_values"),
+        F.min("low").getField("shown").alias("min_value"), F.max("high").getField("shown").alias("max_value"), F.max("longest").alias("longest"),
+    )
+    return merged.select(*"table position column type nullable nulls distinct_values min_value max_value longest".split())
+
+
+def refresh_profile(spark: SparkSession, data: str, table: str, parts: str) -> DataFrame:
+    """The merged profile of the files at ``data``, with the parts of files that are new since the last call appended at ``parts``.
+
+    A file is a part. Files that are known by path, size and time are not read again (the driver gets the paths of new ones, as it
+    does for any scan); parts of files that are gone or were rewritten stay in the store but do not count.
+    """
+    df = spark.read.parquet(data)
+    stamp = F.concat_ws("|", F.col("_metadata.file_path"), F.col("_metadata.file_size"), F.unix_micros(F.col("_metadata.file_modification_time")))
+    now = df.select(stamp.alias("part")).distinct()
+    if exists(spark, parts):
+        old = spark.read.parquet(parts).select("part").distinct()
+        new = [unquote(r["part"].rpartition("|")[0].rpartition("|")[0]) for r in now.join(old, "part", "left_anti").collect()]
+        unread = spark.read.schema(df.schema).parquet(*new) if new else None
+    else:
+        unread = df
+    if unread is not None:
+        profile_parts(unread, table, stamp).write.mode("append").parquet(parts)
+    return merged_profile(spark.read.parquet(parts).join(F.broadcast(now), "part", "left_semi"))
+
+
 def inventory(spark: SparkSession, folder: str, names: list[str] | None = None, distinct: str = "exact") -> DataFrame:
     """``column_profile`` of every table in a folder."""
     chosen = names or list_tables(spark, folder)
@@ -89,7 +179,7 @@ def inventory(spark: SparkSession, folder: str, names: list[str] | None = None,
 
 
 def profile(spark: SparkSession, folder: str, names: list[str] | None = None) -> DataFrame:
-    """Rows and bytes per table, largest first, 100 at most. Files are grouped before they are summed."""
+    """Rows and bytes of every table, largest first. Files are grouped before they are summed."""
     parts = []
     for name in names or list_tables(spark, folder):
         df = read_table(spark, folder, name)
@@ -100,6 +190,6 @@ def profile(spark: SparkSession, folder: str, names: list[str] | None = None) ->
             F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")
         )
         parts.append(totals.select(F.lit(name).alias("table"), "n_rows", "bytes"))
-    return reduce(DataFrame.unionByName, parts).orderBy(F.col("bytes").desc(), "table").limit(PROFILE_LIST)
+    return reduce(DataFrame.unionByName, parts).orderBy(F.col("bytes").desc(), "table")
 
 

@@ -30,11 +30,44 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
-def list_names(spark: SparkSession, folder: str) -> list[str]:
-    """Names in a folder, sorted; hidden ones are left out."""
+def list_names(spark: SparkSession, folder: str, hidden: bool = False) -> list[str]:
+    """Names in a folder, sorted; hidden ones are left out unless asked for."""
     system, target = _filesystem(spark, folder)
     names = [status.getPath().getName() for status in system.listStatus(target)]
-    return sorted(n for n in names if not n.startswith((".", "_")))
+    return sorted(n for n in names if hidden or not n.startswith((".", "_")))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    system, target = _filesystem(spark, path)
+    system.delete(target, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    system, target = _filesystem(spark, path)
+    stream = system.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text_once(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that must not be there yet: aside, then renamed, so it is never seen in part.
+
+    Of two writers one gets an error.
+    """
+    system, target = _filesystem(spark, path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{target.getParent()}/.{uuid.uuid4().hex}")
+    stream = system.create(aside, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if system.exists(target) or not system.rename(aside, target):
+        system.delete(aside, False)
+        raise FileExistsError(path)
 
 
 def list_tables(spark: SparkSession, folder: str) -> list[str]:

@@ -1,70 +1,86 @@
 """Streams of row changes: upsert, keep-first insert, slow-event monitor, first occurrences.
 
-Every job runs with ``availableNow`` or as an endless stream, and takes its source as a DataFrame,
-so a test can feed a folder and production a log.
+Every job takes its source as a DataFrame and its trigger as an argument (``{"availableNow": True}`` by default,
+``{"processingTime": "1 minute"}`` for an endless stream), so a test can feed a folder and production a log. What must be known of earlier
+batches lies in a :class:`~tablecare.streaming.log.BatchLog`.
 """
 
 from __future__ import annotations
 
-from typing import Iterator
+from typing import Any, Mapping
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tablecare.operators.keys import any_null
 from tablecare.operators.merging import one_per_key
-from tablecare.sources.tables import exists, replace_table
+from tablecare.streaming.log import BATCH, BatchLog
 
 SLOW_AT = 500.0
-BATCH = "_batch"
+ONCE: Mapping[str, Any] = {"availableNow": True}
+FOLD_EVERY = 50
+"""Batches after which a log is folded."""
+
+
+def _started(writer: DataStreamWriter, checkpoint: str, trigger: Mapping[str, Any]) -> StreamingQuery:
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def _refuse(batch: DataFrame, folder: str, keys: list[str], number: int) -> DataFrame:
+    """The rows with a full key; the others are written to ``folder/refused``, one folder per batch."""
+    batch.where(any_null(keys)).write.mode("overwrite").parquet(f"{folder}/refused/{BATCH}={number}")
+    return batch.where(~any_null(keys))
+
+
+def refused(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows that a stream has refused for want of a full key, with their batch."""
+    return spark.read.parquet(f"{folder}/refused").withColumnRenamed(BATCH, "batch")
 
 
 def start_upsert(
-    source: DataFrame, folder: str, checkpoint: str, keys: list[str], order: list[Column | str]
+    source: DataFrame,
+    folder: str,
+    checkpoint: str,
+    keys: list[str],
+    order: list[Column | str],
+    trigger: Mapping[str, Any] = ONCE,
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """Last-write-wins upsert of arriving rows.
 
-    Each micro-batch is cut to one row per key and written to its own folder under
-    ``folder/changes``. A batch that is repeated overwrites its folder, so nothing doubles, and the
-    cost of a batch follows the batch and not the state. ``current`` reads the state, ``fold``
-    folds the changes into the base now and then.
+    Each micro-batch is cut to one row per key and stored as a batch of the log, so the cost of a batch follows the batch and not
+    the state; every ``fold_every`` batches the log is folded. Rows without a full key are kept apart (:func:`refused`).
+    ``current`` reads the state.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        one_per_key(batch, keys, order).write.mode("overwrite").parquet(f"{folder}/changes/{BATCH}={number}")
+        log = BatchLog(batch.sparkSession, f"{folder}/log")
+        log.write(one_per_key(_refuse(batch, folder, keys, number), keys, order), number)
+        log.fold(lambda rows: _newest(rows, keys, order), fold_every)
 
-    return (
-        source.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _started(source.writeStream.foreachBatch(write), checkpoint, trigger)
+
+
+def _newest(rows: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
+    """One row per key; of equal ones under ``order`` and all columns, that of the earliest batch."""
+    return one_per_key(rows, keys, order)
 
 
 def current(spark: SparkSession, folder: str, keys: list[str], order: list[Column | str]) -> DataFrame:
     """The state an upsert stream has reached: the newest row of each key, late rows included."""
-    parts = []
-    if exists(spark, f"{folder}/base"):
-        parts.append(spark.read.parquet(f"{folder}/base"))
-    if exists(spark, f"{folder}/changes"):
-        parts.append(spark.read.parquet(f"{folder}/changes").drop(BATCH))
-    if not parts:
+    rows = BatchLog(spark, f"{folder}/log").read()
+    if rows is None:
         raise FileNotFoundError(folder)
-    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return one_per_key(rows, keys, order)
+    return _newest(rows, keys, order).drop(BATCH)
 
 
-def fold(spark: SparkSession, folder: str, keys: list[str], order: list[Column | str]) -> None:
-    """Rewrite the base with all changes. A change folded twice changes nothing, so the change
-    folders may be removed at leisure."""
-    replace_table(current(spark, folder, keys, order), f"{folder}/base")
+def fold(spark: SparkSession, folder: str, keys: list[str], order: list[Column | str]) -> bool:
+    """Fold all batches of an upsert stream into a new base now; whether there were any."""
+    return BatchLog(spark, f"{folder}/log").fold(lambda rows: _newest(rows, keys, order))
 
 
 def keep_first_stream(source: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
-    """Arriving rows, one per key.
+    """Arriving rows, one per key, by Spark's own state; of rows of one batch any may be the one.
 
     State is bounded by the watermark: a repeat later than ``delay`` after its key is passed on
     again. Rows without a full key are left out, as in the batch merge.
@@ -72,19 +88,65 @@ def keep_first_stream(source: DataFrame, keys: list[str], ts: str, delay: str) -
     return source.where(~any_null(keys)).withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def start_keep_first(
-    source: DataFrame, folder: str, checkpoint: str, keys: list[str], ts: str, delay: str
+def start_firsts(
+    source: DataFrame,
+    folder: str,
+    checkpoint: str,
+    keys: list[str],
+    ts: str,
+    ttl: str | None = None,
+    order: list[Column | str] | None = None,
+    trigger: Mapping[str, Any] = ONCE,
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
-    """``keep_first_stream`` into a parquet folder."""
-    return (
-        keep_first_stream(source, keys, ts, delay)
-        .writeStream.format("parquet")
-        .option("path", folder)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    """The first row of each key that has not been seen before, whole, in ``folder/out`` (:func:`firsts`).
+
+    The first of a batch is that of the smallest ``ts`` (or by ``order``); a row without a time comes last, and a key that has no
+    other passes with it. Seen keys lie in a log with the event time at which they came. With ``ttl`` (an interval such as
+    ``"40 days"``) a key is forgotten once events are that much newer, and passes again when it returns. A batch that is repeated
+    gives the same rows again in place of its first ones. Rows without a full key are kept apart (:func:`refused`).
+
+    Only key columns of the seen keys are read per batch; a batch is cut to one row per key in the map tasks before it meets them.
+    """
+    by = order or [F.col(ts).asc_nulls_last()]
+
+    def live(rows: DataFrame, high: Column) -> Column:
+        return F.lit(True) if ttl is None else F.col("_seen_at").isNull() | (F.col("_seen_at") + F.expr(f"INTERVAL {ttl}") >= high)
+
+    def write(batch: DataFrame, number: int) -> None:
+        log = BatchLog(batch.sparkSession, f"{folder}/log")
+        if number < log.version().folded:
+            return  # a later batch is folded, so this one has been passed on
+        batch = batch.persist()
+        try:
+            first = one_per_key(_refuse(batch, folder, keys, number), keys, by)
+            high = batch.agg(F.max(ts).alias("high"))
+            seen = log.read(before=number)
+            if seen is not None:
+                high = seen.agg(F.max("_seen_at").alias("high")).unionAll(high).agg(F.max("high").alias("high"))
+                known = seen.join(F.broadcast(high)).where(live(seen, F.col("high"))).select(*keys).distinct()
+                first = first.join(known, keys, "left_anti")
+            passed = first.select(*batch.columns)
+            passed.write.mode("overwrite").parquet(f"{folder}/out/{BATCH}={number}")
+            stored = batch.sparkSession.read.schema(passed.schema).parquet(f"{folder}/out/{BATCH}={number}")
+            log.write(stored.join(F.broadcast(high)).select(*keys, F.coalesce(F.col(ts), F.col("high")).alias("_seen_at")), number)
+        finally:
+            batch.unpersist()
+        log.fold(lambda rows: _still_live(rows, keys, live), fold_every)
+
+    return _started(source.writeStream.foreachBatch(write), checkpoint, trigger)
+
+
+def _still_live(rows: DataFrame, keys: list[str], live: Any) -> DataFrame:
+    """The seen keys that a later batch may still ask for; the newest entry of each key."""
+    high = rows.agg(F.max("_seen_at").alias("high"))
+    alive = rows.join(F.broadcast(high)).where(live(rows, F.col("high"))).drop("high")
+    return one_per_key(alive, keys, [F.col("_seen_at").desc_nulls_last(), F.col(BATCH).desc()])
+
+
+def firsts(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows that :func:`start_firsts` has passed on."""
+    return spark.read.parquet(f"{folder}/out").drop(BATCH)
 
 
 def _per_window(slow: DataFrame, ts: str, kind: str, ms: str, width: str) -> DataFrame:
@@ -111,6 +173,7 @@ def start_slow_monitor(
     delay: str,
     at_least: float = SLOW_AT,
     width: str = "10 minutes",
+    trigger: Mapping[str, Any] = ONCE,
 ) -> StreamingQuery:
     """``slow_windows`` of a stream, each window written once it is complete.
 
@@ -119,41 +182,5 @@ def start_slow_monitor(
     """
     timed = source.withWatermark(ts, delay)
     slow = timed.where(F.when(F.col(ts).isNotNull(), F.col(ms) >= at_least))
-    return (
-        _per_window(slow, ts, kind, ms, width)
-        .writeStream.format("parquet")
-        .option("path", folder)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def first_occurrence_stream(source: DataFrame, keys: list[str], ts: str, delay: str, ttl_ms: int) -> DataFrame:
-    """Keys seen for the first time: (keys, first ts of the batch that brought them).
-
-    The state is one flag per key and ends ``ttl_ms`` of event time after the key was first seen;
-    a key that returns later counts as new. A group's rows reach the function as an iterator of
-    frames, and only their smallest time is kept.
-    """
-    fields = [source.schema[k] for k in keys] + [source.schema[ts]]
-    output = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
-
-    def flag(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        earliest = min(frame[ts].min() for frame in frames)
-        if not state.exists:
-            state.update((True,))
-            seen_ms = int(pd.Timestamp(earliest).timestamp() * 1000)
-            state.setTimeoutTimestamp(max(seen_ms, state.getCurrentWatermarkMs()) + ttl_ms)
-            yield pd.DataFrame([[*key, earliest]], columns=[*keys, ts])
-
-    return (
-        source.select(*keys, ts)
-        .withWatermark(ts, delay)
-        .groupBy(*keys)
-        .applyInPandasWithState(flag, output, "seen boolean", "append", GroupStateTimeout.EventTimeTimeout)
-    )
+    windows = _per_window(slow, ts, kind, ms, width)
+    return _started(windows.writeStream.format("parquet").option("path", folder).outputMode("append"), checkpoint, trigger)

@@ -1,5 +1,6 @@
 import uuid
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from tablecare.plans import reports
 from tablecare.sources import copying, history, inventory, reconciling, tables
 from tablecare.session import shuffle_partitions
 from tablecare.spec import ColumnSpec, ForeignKey, TableSpec
+from tests.conftest import final_plan
 
 
 @pytest.fixture()
@@ -168,6 +170,52 @@ def test_profile_of_odd_columns(spark, folder):
     assert [r["distinct_values"] for r in empty] == [0, 0, 0]
 
 
+def test_merged_profile_equals_the_whole(spark):
+    rows = [(k if k % 7 else None, (k % 13) / 4 - 1, f"t{k % 50}" if k % 5 else None, Decimal(k) / 3 if k % 2 else None, k % 3 == 0, datetime(2024, 1, 1 + k % 28), datetime(2024, 1, 1 + k % 28).date(), [k], -(2**62) + k) for k in range(2000)]
+    df = spark.createDataFrame(rows, "i int, x double, s string, d decimal(20,6), b boolean, t timestamp, day date, a array<int>, big bigint")
+    whole = {r["column"]: r.asDict() for r in inventory.column_profile(df, "t").collect()}
+    parts = inventory.profile_parts(df, "t", F.col("x"))
+    assert parts.select("part").distinct().count() == 13
+    for made in (inventory.merged_profile(parts), inventory.merged_profile(inventory.profile_parts(df, "t"))):
+        for line in made.collect():
+            expected = whole[line["column"]]
+            assert {k: v for k, v in line.asDict().items() if k != "distinct_values"} == {k: v for k, v in expected.items() if k != "distinct_values"}
+            assert abs(line["distinct_values"] - expected["distinct_values"]) <= 0.03 * expected["distinct_values"]
+
+
+def test_refreshed_profile_reads_new_files_only(spark, folder):
+    data, parts = folder(), folder()
+    spark.range(100).repartition(2).write.parquet(data)
+    assert inventory.refresh_profile(spark, data, "t", parts).first()["max_value"] == "99"
+    assert spark.read.parquet(parts).count() == 2
+    spark.range(100, 300).coalesce(1).write.mode("append").parquet(data)
+    line = inventory.refresh_profile(spark, data, "t", parts).first()
+    assert (line["min_value"], line["max_value"], line["nulls"]) == ("0", "299", 0) and spark.read.parquet(parts).count() == 3
+    assert inventory.refresh_profile(spark, data, "t", parts).first()["distinct_values"] == 300 and spark.read.parquet(parts).count() == 3
+    spark.range(5).coalesce(1).write.mode("overwrite").parquet(data)
+    assert inventory.refresh_profile(spark, data, "t", parts).first()["max_value"] == "4"
+
+
+def test_exact_distinct_counts_shuffle_hashes(spark):
+    df = spark.range(10).select(F.repeat(F.col("id").cast("string"), 1000).alias("long"), "id")
+    made = inventory.column_profile(df, "t")
+    assert [r["distinct_values"] for r in made.orderBy("position").collect()] == [10, 10]
+    shuffled = [line for line in final_plan(made).split("\n") if "Exchange hashpartitioning" in line]
+    assert shuffled and not any("long" in line for line in shuffled)
+
+
+def test_reconcile_by_bucket_reads_what_differs(spark, rows):
+    source = spark.range(20_000).select("id", (F.col("id") % 7).alias("n"), F.map_from_arrays(F.array(F.lit("k")), F.array("id")).alias("m"), F.when(F.col("id") % 11 != 0, "x").alias("z"))
+    copy = source.where("id <> 70").withColumn("n", F.when(F.col("id") == 500, None).otherwise(F.col("n"))).unionAll(source.limit(1).withColumn("id", F.lit(-1).cast("long")))
+    plain = copy.select("z", "m", "n", "id")
+    assert rows(reconciling.reconcile_by_bucket(source.drop("m"), plain.drop("m"), ["id"], 64)) == sorted([(-1, "extra"), (70, "missing"), (500, "changed")], key=repr)
+    left, right = reconciling.suspects(source, plain, ["id"], 64)
+    assert left.count() + right.count() < 100
+    assert [side.count() for side in reconciling.suspects(source, source.repartition(5), ["id"])] == [0, 0]
+    keyless = spark.createDataFrame([(None, 1), (None, 2), (1, 1)], "k int, v int")
+    assert reconciling.suspects(keyless, keyless.where("v = 1"), ["k"])[0].count() >= 2
+
+
 WIDE = TableSpec(
     "t",
     (ColumnSpec("id", T.LongType()), ColumnSpec("note", T.StringType()), ColumnSpec("rank", T.IntegerType(), False, default=3)),
