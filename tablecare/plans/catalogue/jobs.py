@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -11,6 +12,7 @@ from tablecare.operators.health import row_counts
 from tablecare.plans import guarded_sql, repair as repairs
 from tablecare.plans.catalogue.registry import query, run_folder
 from tablecare.sources import copying, exporting, history, inventory, reconciling, tables
+from tablecare.sources.dataset import Dataset, content
 from tablecare.sources.tables import read_table, table_path, write_table
 from tablecare.spec import ColumnSpec, ForeignKey, TableSpec
 
@@ -100,6 +102,9 @@ def write_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+EVERY = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
 @query(
     """
     SELECT 'customer' AS "table", count(*) AS rows_before, CAST(0 AS bigint) AS rows_after FROM customer
@@ -127,6 +132,32 @@ def snapshot_restore(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, folder, "nation")
 
 
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", count(*) AS rows_saved, CAST(0 AS bigint) AS rows_purged, count(*) AS rows_back, true AS same FROM {name}"
+        for name in EVERY
+    )
+)
+def dataset_restore(spark: SparkSession, sf: str) -> DataFrame:
+    """All tables as one dataset: saved, purged at once, in part overwritten, and brought back at once."""
+    data = Dataset(spark, run_folder(spark))
+    source = {name: read_table(spark, sf, name) for name in EVERY}
+    data.write(source)
+    taken = data.snapshot("all", datetime(2024, 2, 1, 12, 30))
+    saved = data.purge(EVERY)
+    emptied = row_counts({name: data.read(name) for name in EVERY}).collect()
+    empty = spark.createDataFrame([(r["table"], r["n_rows"]) for r in emptied], "table string, rows_purged bigint")
+    data.write({"nation": source["region"]})
+    data.restore(taken)
+    data.clean()
+    parts = []
+    for name, df in source.items():
+        back = content(data.read(name)).select(F.lit(name).alias("table"), F.col("n_rows").alias("rows_back"), F.col("fingerprint").alias("mark"))
+        parts.append(back.join(F.broadcast(content(df))).select("table", "rows_back", F.col("mark").eqNullSafe(F.col("fingerprint")).alias("same")))
+    found = reduce(DataFrame.unionAll, parts)
+    return saved.withColumnRenamed("rows_before", "rows_saved").join(empty, "table").join(found, "table")
+
+
 @query(
     """
     SELECT event_id, ts, user_id, event_type, value, props FROM events
@@ -292,6 +323,9 @@ def reconcile_by_bucket(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines against a copy in which few rows are missing, changed or new."""
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     lines = read_table(spark, sf, "lineitem").groupBy(*keys).agg(F.sum("l_quantity").alias("quantity"), F.max("l_shipdate").alias("shipped"))
+    folder = run_folder(spark)
+    write_table(lines, table_path(folder, "lines"))
+    lines = read_table(spark, folder, "lines")
     number = F.col("l_orderkey")
     copy = lines.where(number % 997 != 0).withColumn("quantity", F.when(number % 991 == 0, -1.0).otherwise(F.col("quantity")))
     source = lines.where((number % 983 != 0) | (number % 991 == 0) | (number % 997 == 0))
@@ -372,7 +406,7 @@ def export_csv(spark: SparkSession, sf: str) -> DataFrame:
     )
     nations = read_table(spark, sf, "nation", ["n_nationkey", "n_name"])
     counted = nations.join(customers, F.col("n_nationkey") == F.col("c_nationkey"), "left").drop("c_nationkey")
-    path = run_folder(spark)
+    path = f"{run_folder(spark)}/out"
     exporting.export_table(counted.na.fill(0, ["n_customers"]), path, "csv")
     return spark.read.csv(path, header=True, schema="n_nationkey string, n_name string, n_customers string")
 
@@ -389,7 +423,7 @@ def _round_trip(spark: SparkSession, sf: str, fmt: str) -> DataFrame:
     text = F.concat(F.lit('  "'), "p_name", F.lit('", \n'), "p_type", F.lit("  "))
     place = F.col("p_partkey") % 5
     note = F.when(place == 0, F.lit(None)).when(place == 1, F.lit("")).otherwise(text)
-    path = run_folder(spark)
+    path = f"{run_folder(spark)}/out"
     exporting.export_table(parts.select("p_partkey", note.alias("note"), F.lit(None).cast("string").alias("nothing")), path, fmt)
     if fmt == "json":
         return spark.read.json(path, schema="p_partkey bigint, note string, nothing string")

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import wraps
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablecare.session import shared_dir
+from tablecare.sources.tables import working_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,5 +33,5 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def run_folder(spark: SparkSession) -> str:
-    """A new folder in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/tablecare-{uuid.uuid4().hex}"
+    """A new folder in the shared folder for what a query writes; it goes when the session's process ends."""
+    return working_folder(spark)

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import re
+import time
 import uuid
+from contextlib import contextmanager
 from datetime import datetime
+from typing import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -89,9 +92,11 @@ def read_table(spark: SparkSession, folder: str, name: str, columns: list[str] |
 def replace_table(df: DataFrame, path: str) -> None:
     """Write next to ``path``, then swap. ``df`` may read from ``path``.
 
-    The old table stays until the new one is complete; each task's files are committed by Spark.
+    The old table stays until the new one is complete; each task's files are committed by Spark. What an earlier job that
+    died has left beside ``path`` is set right first (:func:`recover`).
     """
     spark = df.sparkSession
+    recover(spark, path)
     mark = uuid.uuid4().hex
     staged, retired = f"{path}.new-{mark}", f"{path}.old-{mark}"
     df.write.mode("errorifexists").parquet(staged)
@@ -109,11 +114,47 @@ def replace_table(df: DataFrame, path: str) -> None:
     spark.catalog.refreshByPath(path)
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back: later plans know its size, and it is made once."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/tablecare-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish or undo swaps at ``path`` that a job died in.
+
+    A table that was set aside and not replaced comes back. One that was replaced loses its old copy. New
+    copies that were never swapped in stay for an hour, as their job may be at work, and are removed then.
+    """
+    system, target = _filesystem(spark, path)
+    beside = target.getParent()
+    if beside is None or not system.exists(beside):
+        return
+    name = target.getName()
+    for status in system.listStatus(beside):
+        found = status.getPath().getName()
+        if found.startswith(f"{name}.old-"):
+            if system.exists(target) or not system.rename(status.getPath(), target):
+                system.delete(status.getPath(), True)
+        elif found.startswith(f"{name}.new-") and time.time() * 1000 - status.getModificationTime() > ABANDONED_MS:
+            system.delete(status.getPath(), True)
+
+
+ABANDONED_MS = 3_600_000
+
+
+def working_folder(spark: SparkSession) -> str:
+    """A new folder in the shared folder; it is removed when the session's process ends, if not before."""
+    path = f"{shared_dir(spark).rstrip('/')}/tablecare-{uuid.uuid4().hex}"
+    system, target = _filesystem(spark, path)
+    system.mkdirs(target)
+    system.deleteOnExit(target)
+    return path
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder and read back: later plans know its size, and it is made once. The copy goes with the block."""
+    path = working_folder(df.sparkSession)
+    try:
+        df.write.parquet(f"{path}/rows")
+        yield df.sparkSession.read.parquet(f"{path}/rows")
+    finally:
+        delete(df.sparkSession, path)
 
 
 def write_table(
@@ -126,14 +167,15 @@ def write_table(
     incoming rows are staged, one per key, so their size decides how they meet the stored ones.
     """
     spark = df.sparkSession
+    recover(spark, path)
     if mode in ("keep", "upsert") and exists(spark, path):
         stored = spark.read.parquet(path)
-        latest = staged(one_per_key(df.select(*stored.columns), list(keys), list(order)))
-        if mode == "upsert":
-            replace_table(merge_last_wins(stored, latest, list(keys), list(order)), path)
-        else:
-            new_rows(stored, latest, list(keys), list(order)).write.mode("append").parquet(path)
-            spark.catalog.refreshByPath(path)
+        with staged(one_per_key(df.select(*stored.columns), list(keys), list(order))) as latest:
+            if mode == "upsert":
+                replace_table(merge_last_wins(stored, latest, list(keys), list(order)), path)
+            else:
+                new_rows(stored, latest, list(keys), list(order)).write.mode("append").parquet(path)
+                spark.catalog.refreshByPath(path)
     elif mode in ("keep", "upsert"):
         replace_table(one_per_key(df, list(keys), list(order)), path)
     elif mode == "reload":
