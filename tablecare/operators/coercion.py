@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tablecare.functions import values
 from tablecare.operators.keys import any_null
 from tablecare.operators.projection import common_columns
+from tablecare.session import dealt_out
 from tablecare.spec import ColumnSpec, TableSpec
 
 NARROW = (T.ByteType, T.ShortType, T.IntegerType)
@@ -19,43 +20,22 @@ BAD_VALUE = "bad value"
 OUT_OF_RANGE = "out of range"
 MISSING = "missing value"
 
-REJECT = "table string, row_key string, column string, raw string, reason string"
-
-
 class Coerced(NamedTuple):
-    """``clean`` rows and one ``rejects`` row per value that was lost or that refused its row."""
+    """``clean`` rows and one ``rejects`` row per value that was lost or that refused its row; both are cuts of ``marked``.
+
+    ``marked`` has every source row once: its converted columns, ``_refused`` (whether the row is not clean), ``_key`` (the identity
+    of the row as JSON) and ``_problems`` (column, raw, reason of each value that was lost; NULL if none). A job that needs both cuts
+    writes ``marked`` once and reads it back through :func:`cut`.
+    """
 
     clean: DataFrame
     rejects: DataFrame
+    marked: DataFrame
 
 
-def _lost(raw: Column, source: T.DataType, column: ColumnSpec) -> Column:
-    """Whether a value is there but cannot be read."""
-    return raw.isNotNull() & values.convert(raw, source, column.dtype, column.max_length).isNull()
-
-
-def _too_wide(raw: Column, source: T.DataType, column: ColumnSpec) -> Column | None:
-    """Whether a whole number does not fit its narrow column; ``None`` where that cannot happen."""
-    if not isinstance(column.dtype, NARROW) or source == column.dtype:
-        return None
-    wide = values.convert(raw, source, T.LongType())
-    return wide.isNotNull() & wide.try_cast(column.dtype).isNull()
-
-
-def _absent(raw: Column, source: T.DataType, column: ColumnSpec) -> Column | None:
-    """Whether a required column has no value; ``None`` where it is not required."""
-    if column.nullable:
-        return None
-    return values.convert(raw, source, column.dtype, column.max_length).isNull()
-
-
-def _reason(raw: Column, source: T.DataType, column: ColumnSpec) -> Column | None:
-    """Why a value was rejected, NULL where it was not; ``None`` where nothing can go wrong."""
-    tests = [(_too_wide(raw, source, column), OUT_OF_RANGE), (_absent(raw, source, column), MISSING)]
-    if source != column.dtype and not isinstance(column.dtype, T.StringType):
-        tests.append((_lost(raw, source, column), BAD_VALUE))
-    named = [F.when(test, F.lit(label)) for test, label in tests if test is not None]
-    return F.coalesce(*named) if named else None
+def _narrowed(source: T.DataType, column: ColumnSpec) -> bool:
+    """Whether a whole number may be too wide for the column."""
+    return isinstance(column.dtype, NARROW) and source != column.dtype
 
 
 def coerce(df: DataFrame, spec: TableSpec, carry: list[str] | None = None) -> Coerced:
@@ -63,43 +43,62 @@ def coerce(df: DataFrame, spec: TableSpec, carry: list[str] | None = None) -> Co
 
     A value that cannot be read becomes NULL and is reported. A number too wide for its column
     or a NULL in a required column refuses the whole row. ``carry`` names the source columns
-    that identify a row in ``rejects`` (the key of the spec by default).
+    that identify a row in ``rejects`` (the key of the spec by default). Every value is converted once.
     """
     shared = common_columns(df, spec)
     if shared is None:
         raise ValueError(f"{spec.name}: no common column")
     shared = shared.withColumns({c: F.expr(e) for c, e in spec.derived_for(shared.columns).items()})
-    kinds = {f.name: f.dataType for f in shared.schema.fields}
-    columns = [spec.column(name) for name in shared.columns]
-
-    fatal = [
-        test
-        for c in columns
-        for test in (_too_wide(F.col(c.name), kinds[c.name], c), _absent(F.col(c.name), kinds[c.name], c))
-        if test is not None
-    ]
-    accepted = shared.where(~reduce(Column.__or__, fatal)) if fatal else shared
-    clean = accepted.select(
-        *[values.convert(F.col(c.name), kinds[c.name], c.dtype, c.max_length).alias(c.name) for c in columns]
-    )
-
-    reasons = {c.name: _reason(F.col(c.name), kinds[c.name], c) for c in columns}
-    reasons = {name: reason for name, reason in reasons.items() if reason is not None}
-    problems = [
-        F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("raw"), reason.alias("reason"))
-        for name, reason in reasons.items()
-    ]
-    if not problems:
-        return Coerced(clean, df.sparkSession.createDataFrame([], REJECT))
+    columns = [(spec.column(f.name), f) for f in shared.schema.fields]
+
+    def converted(column: ColumnSpec, source: T.StructField) -> Column:
+        target = T.LongType() if _narrowed(source.dataType, column) else column.dtype
+        return values.convert(F.col(source.name), source.dataType, target, column.max_length)
+
+    # Rows pass through a generator: a filter on what it makes cannot move below it, where it would convert again.
+    made = [F.struct(F.col(f.name).alias("raw"), converted(c, f).alias("read")).alias(f"_{i}") for i, (c, f) in enumerate(columns)]
+    once = dealt_out(shared).select(F.inline(F.array(F.struct(*made))))
+
+    refusals, problems, final = [], [], []
+    for i, (column, source) in enumerate(columns):
+        raw, read = F.col(f"_{i}.raw"), F.col(f"_{i}.read")
+        value = read.try_cast(column.dtype) if _narrowed(source.dataType, column) else read
+        final.append(value.alias(column.name))
+        tests = []
+        if _narrowed(source.dataType, column):
+            tests.append((read.isNotNull() & value.isNull(), OUT_OF_RANGE))
+        if not column.nullable:
+            tests.append((value.isNull(), MISSING))
+        refusals += [test for test, _ in tests]
+        if source.dataType != column.dtype and not isinstance(column.dtype, T.StringType):
+            tests.append((raw.isNotNull() & read.isNull(), BAD_VALUE))
+        if tests:
+            reason = F.coalesce(*[F.when(test, F.lit(label)) for test, label in tests])
+            problem = F.struct(F.lit(column.name).alias("column"), raw.cast("string").alias("raw"), reason.alias("reason"))
+            problems.append((reduce(Column.__or__, [test for test, _ in tests]), problem))
+
+    position = {f.name: i for i, (_, f) in enumerate(columns)}
     identity = carry if carry is not None else [k for k in spec.key if k in shared.columns]
-    named = F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in identity])) if identity else F.lit(None)
-    rejects = (
-        shared.where(F.coalesce(*reasons.values()).isNotNull())
-        .withColumn("_problem", F.explode(F.array(*problems)))
-        .where(F.col("_problem.reason").isNotNull())
-        .select(F.lit(spec.name).alias("table"), named.cast("string").alias("row_key"), "_problem.*")
+    key = F.to_json(F.struct(*[F.col(f"_{position[k]}.raw").cast("string").alias(k) for k in identity])) if identity else F.lit(None).cast("string")
+    lost = reduce(Column.__or__, [test for test, _ in problems]) if problems else F.lit(False)
+    listed = F.filter(F.array(*[p for _, p in problems]), lambda p: p["reason"].isNotNull()) if problems else F.lit(None).cast(PROBLEMS)
+    marked = once.select(
+        *final,
+        (reduce(Column.__or__, refusals) if refusals else F.lit(False)).alias("_refused"),
+        F.when(lost, key).alias("_key"),
+        F.when(lost, listed).alias("_problems"),
     )
-    return Coerced(clean, rejects)
+    return cut(marked, spec.name)
+
+
+PROBLEMS = "array<struct<column:string,raw:string,reason:string>>"
+
+
+def cut(marked: DataFrame, table: str) -> Coerced:
+    """The two cuts of ``marked`` rows."""
+    clean = marked.where(~F.col("_refused")).drop("_refused", "_key", "_problems")
+    lost = marked.where(F.col("_problems").isNotNull()).select(F.lit(table).alias("table"), F.col("_key").alias("row_key"), F.inline("_problems"))
+    return Coerced(clean, lost.select("table", "row_key", "column", "raw", "reason"), marked)
 
 
 def validate(df: DataFrame, spec: TableSpec) -> DataFrame:

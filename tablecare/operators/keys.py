@@ -37,6 +37,19 @@ def _sortable(field: T.StructField) -> Column | None:
     return F.col(field.name)
 
 
+def row_hash(df: DataFrame, columns: list[str], seed: int) -> Column:
+    """64 bits of the values of a row, equal for equal rows; NULL is a value of its own, maps and variants count by their JSON."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    plain = [F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in kinds[c].simpleString() or isinstance(kinds[c], T.VariantType) else F.col(f"`{c}`") for c in columns]
+    nulls = F.concat(F.lit("_"), *[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in columns])
+    return F.xxhash64(F.lit(seed), nulls, *plain)
+
+
+def low_half(hashed: Column) -> Column:
+    """The lower 32 bits of a hash: those of 2**31 rows add up to a bigint."""
+    return hashed.bitwiseAND(F.lit((1 << 32) - 1))
+
+
 def total_order(df: DataFrame, order: list[Column | str], given: list[str] = ()) -> list[Column]:
     """``order`` followed by every other column, so that only equal rows can tie.
 

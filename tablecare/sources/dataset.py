@@ -23,6 +23,7 @@ from typing import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablecare.operators.health import row_counts
+from tablecare.operators.keys import low_half, row_hash
 from tablecare.operators.merging import merge_last_wins, new_rows, one_per_key
 from tablecare.sources.tables import SNAPSHOT, delete, exists, list_names, read_text, write_text_once
 
@@ -179,6 +180,6 @@ class Dataset:
 
 def content(df: DataFrame) -> DataFrame:
     """(n_rows, fingerprint) of a table, whatever the order of its rows."""
-    one = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    mark = F.concat_ws(":", F.sum(one.cast("decimal(38,0)")).cast("string"), F.bit_xor(one).cast("string"))
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), mark.alias("fingerprint"))
+    hashes = [row_hash(df, df.columns, seed) for seed in (1, 2)]
+    marks = [mark.cast("string") for h in hashes for mark in (F.sum(low_half(h)), F.bit_xor(h))]
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.concat_ws(":", *marks).alias("fingerprint"))

@@ -5,12 +5,11 @@ from __future__ import annotations
 from functools import reduce
 from typing import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, functions as F
 
 from tablecare.functions.text import fingerprint
 from tablecare.operators.health import row_counts
-from tablecare.operators.keys import null_safe
+from tablecare.operators.keys import low_half, null_safe, row_hash
 from tablecare.operators.sets import balance
 from tablecare.session import cut_lineage
 
@@ -50,17 +49,9 @@ BUCKETS = 1024
 """Buckets of keys on the first level, and parts of each that differs on the next."""
 
 
-def _hashes(df: DataFrame, columns: list[str], seed: int) -> Column:
-    """64 bits of the values of a row; maps and variants by their JSON."""
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    plain = [F.to_json(F.struct(c)) if isinstance(kinds[c], (T.MapType, T.VariantType)) else F.col(c) for c in columns]
-    nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
-    return F.xxhash64(F.lit(seed), nulls, *plain)
-
-
 def _fingerprints(df: DataFrame, at: list[str], side: str) -> DataFrame:
     """Per bucket the number of rows and sums and xors of their hashes: equal for equal rows in any order."""
-    facts = [F.count(F.lit(1)), F.sum(F.col("_one").cast("decimal(38,0)")), F.bit_xor("_one"), F.sum(F.col("_two").cast("decimal(38,0)")), F.bit_xor("_two")]
+    facts = [F.count(F.lit(1)), F.sum(low_half(F.col("_one"))), F.bit_xor("_one"), F.sum(low_half(F.col("_two"))), F.bit_xor("_two")]
     return df.groupBy(*at).agg(F.struct(*[f.alias(f"f{i}") for i, f in enumerate(facts)]).alias(side))
 
 
@@ -79,7 +70,7 @@ def suspects(source: DataFrame, copy: DataFrame, keys: list[str], buckets: int =
     copy = copy.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in source.schema.fields])
     sides = []
     for df in (source, copy):
-        marked = df.withColumn("_place", _hashes(df, keys, 3)).withColumns({"_one": _hashes(df, df.columns, 1), "_two": _hashes(df, df.columns, 2)})
+        marked = df.withColumn("_place", row_hash(df, keys, 3)).withColumns({"_one": row_hash(df, df.columns, 1), "_two": row_hash(df, df.columns, 2)})
         place = F.col("_place")
         for level in range(levels):
             marked = marked.withColumn(f"_at_{level}", F.pmod(place, F.lit(buckets)).cast("int"))

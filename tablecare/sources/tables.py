@@ -73,6 +73,18 @@ def write_text_once(spark: SparkSession, path: str, text: str) -> None:
         raise FileExistsError(path)
 
 
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, time in ms) of the data files at ``path`` and below, sorted."""
+    system, target = _filesystem(spark, path)
+    files, found = system.listFiles(target, True), []
+    while files.hasNext():
+        status = files.next()
+        name = status.getPath().getName()
+        if not name.startswith((".", "_")):
+            found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return sorted(found)
+
+
 def list_tables(spark: SparkSession, folder: str) -> list[str]:
     """Names of the tables in a folder."""
     return [n[: -len(SUFFIX)] for n in list_names(spark, folder) if n.endswith(SUFFIX)]

@@ -34,6 +34,9 @@ LINK = TableSpec(
 )
 
 
+ORDERS = {"item": ["name"], "link": []}
+
+
 def source_of(spark, folder, links=(("1", "0"), ("1", "1"), ("9", "0"))):
     source = folder("source")
     items = spark.createDataFrame([("1", "one"), ("2", "two"), ("x", "bad")], "ID string, name string")
@@ -46,13 +49,56 @@ def source_of(spark, folder, links=(("1", "0"), ("1", "1"), ("9", "0"))):
 def test_copy_twice_is_copy_once(spark, folder, rows):
     source, target = source_of(spark, folder), folder("target")
     for mode in ("reload", "reload", "keep"):
-        report = copying.copy_dataset(spark, source, target, [ITEM, LINK], mode)
+        report = copying.copy_dataset(spark, source, target, [ITEM, LINK], mode, order=ORDERS)
         assert rows(tables.read_table(spark, target, "item")) == [(1, "one"), (2, "two")]
         assert rows(tables.read_table(spark, target, "link")) == [(1, 0), (1, 1)]
     lines = {r["table"]: r for r in report.collect()}
     assert (lines["item"]["read"], lines["item"]["written"], lines["item"]["rejected"]) == (3, 0, 1)
 
 
+def test_copy_counts_and_order(spark, folder, rows):
+    source, target = folder("source"), folder("target")
+    items = [("1", "b"), ("1", "a"), ("2", None), ("2", "z"), ("x", "bad"), (None, "none")]
+    tables.write_table(spark.createDataFrame(items, "id string, name string"), tables.table_path(source, "item"))
+    links = [("1", "0"), ("1", "0"), ("9", "0"), ("2", "y"), ("2", None)]
+    tables.write_table(spark.createDataFrame(links, "parent string, sort string"), tables.table_path(source, "link"))
+    loose = TableSpec("link", (LINK.columns[0], ColumnSpec("sort", T.IntegerType())), LINK.key, foreign_keys=LINK.foreign_keys)
+    order = {"item": [F.col("name").desc_nulls_last()], "link": []}
+    with pytest.raises(ValueError, match="order"):
+        copying.copy_dataset(spark, source, target, [ITEM, loose], order={"item": []})
+    report = {r["table"]: r for r in copying.copy_dataset(spark, source, target, [ITEM, loose], order=order).collect()}
+    counts = lambda name: {c: report[name][c] for c in copying.COUNTS}
+    assert counts("item") == {"read": 6, "rejected": 2, "refused": 2, "null_keys": 0, "orphaned": 0, "repeated": 2, "stored": 0, "written": 2, "skipped": 4}
+    assert counts("link") == {"read": 5, "rejected": 1, "refused": 0, "null_keys": 2, "orphaned": 1, "repeated": 1, "stored": 0, "written": 1, "skipped": 4}
+    assert rows(tables.read_table(spark, target, "item")) == [(1, "b"), (2, "z")]
+    again = copying.copy_dataset(spark, source, target, [ITEM, loose], "keep", order=order).collect()
+    assert [(r["table"], r["stored"], r["written"]) for r in again] == [("item", 2, 0), ("link", 1, 0)]
+
+
+def test_copy_goes_on_where_it_stopped(spark, folder, monkeypatch, rows):
+    source, target = source_of(spark, folder), folder("target")
+    whole, seen = copying.coerce, []
+
+    def watched(df, spec, fails=()):
+        seen.append(spec.name)
+        if spec.name in fails:
+            raise RuntimeError("disk gone")
+        return whole(df, spec)
+
+    copy = lambda **k: {r["table"]: r["status"] for r in copying.copy_dataset(spark, source, target, [ITEM, LINK], order=ORDERS, **k).collect()}
+    monkeypatch.setattr(copying, "coerce", lambda df, spec: watched(df, spec, ("link",)))
+    with pytest.raises(copying.CopyFailed):
+        copy()
+    monkeypatch.setattr(copying, "coerce", watched)
+    seen.clear()
+    assert copy(resume=True) == {"item": "unchanged", "link": "copied"} and seen == ["link"]
+    seen.clear()
+    assert copy(resume=True) == {"item": "unchanged", "link": "unchanged"} and seen == []
+    tables.write_table(spark.createDataFrame([("9", "nine")], "ID string, name string"), tables.table_path(source, "item"))
+    assert copy(resume=True) == {"item": "copied", "link": "copied"}
+    assert rows(tables.read_table(spark, target, "link")) == [(9, 0)]
+
+
 def test_copy_records_a_failing_table_and_goes_on(spark, folder, monkeypatch):
     source, target = source_of(spark, folder), folder("target")
     whole = copying.coerce
@@ -64,7 +110,7 @@ def test_copy_records_a_failing_table_and_goes_on(spark, folder, monkeypatch):
 
     monkeypatch.setattr(copying, "coerce", failing)
     with pytest.raises(copying.CopyFailed, match="item") as caught:
-        copying.copy_dataset(spark, source, target, [ITEM, LINK])
+        copying.copy_dataset(spark, source, target, [ITEM, LINK], order=ORDERS)
     states = {r["table"]: r["status"] for r in caught.value.report.collect()}
     assert states == {"item": "failed", "link": "copied"}
 
@@ -73,10 +119,10 @@ def test_copy_checks_before_it_writes(spark, folder):
     source, target = source_of(spark, folder), folder("target")
     strict = TableSpec("link", (*LINK.columns, ColumnSpec("kind", T.StringType(), False)), LINK.key)
     with pytest.raises(ValueError, match="kind"):
-        copying.copy_dataset(spark, source, target, [ITEM, strict])
+        copying.copy_dataset(spark, source, target, [ITEM, strict], order=ORDERS)
     assert not tables.exists(spark, target)
     with pytest.raises(ValueError, match="no table"):
-        copying.copy_dataset(spark, source, target, [TableSpec("other", ITEM.columns)])
+        copying.copy_dataset(spark, source, target, [TableSpec("other", ITEM.columns)], order={})
 
 
 def test_a_table_may_replace_itself(spark, folder, rows):
