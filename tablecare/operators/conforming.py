@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from tablecare.operators.coercion import validate
+from tablecare.sources.tables import exists
 from tablecare.spec import TableSpec
 
 MODES = ("heal", "report", "off")
@@ -19,6 +22,8 @@ class Operation(NamedTuple):
     kind: str
     column: str
     safe: bool
+    rows: int = 0
+    """Rows that stand in the way, where the data was looked at."""
 
 
 class Conformed(NamedTuple):
@@ -52,6 +57,15 @@ def differences(schema: T.StructType, spec: TableSpec) -> list[Operation]:
     return found
 
 
+def tightened(df: DataFrame, spec: TableSpec) -> list[Operation]:
+    """What the data breaks of rules that types do not show: NULLs in required columns, texts over their length, repeated keys.
+
+    NULLs and lengths take one aggregate over the table, each key a grouped count. A rule that no row breaks is no difference.
+    """
+    found = [(r["rule"], r["column"], r["rows"]) for r in validate(df, spec).collect() if r["rule"] != "missing column"]
+    return [Operation(spec.name, f"tighten: {rule}", column, False, rows) for rule, column, rows in sorted(found)]
+
+
 def key_differences(old: TableSpec, new: TableSpec) -> list[Operation]:
     """Keys the new spec adds; the data may break them, so they are never safe."""
     found = [Operation(new.name, "add unique key", ",".join(u), False) for u in new.unique if u not in old.unique]
@@ -92,21 +106,53 @@ def conform(
     mode: str = "heal",
     extra: list[Operation] = (),
     baseline: TableSpec | None = None,
+    probe: bool = False,
 ) -> Conformed:
     """``df`` in the target schema if every difference is safe, else ``df`` untouched.
 
-    ``extra`` carries differences a schema cannot show, such as ``key_differences``. ``baseline`` is
+    With ``probe`` the data is looked at too (:func:`tightened`). ``extra`` carries differences a schema cannot show, such as ``key_differences``. ``baseline`` is
     the schema the data was first made for: data that has moved on from it to ``spec`` was healed before.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(MODES)}")
-    operations = [] if mode == "off" else [*differences(df.schema, spec), *extra]
+    operations = [] if mode == "off" else [*differences(df.schema, spec), *extra, *(tightened(df, spec) if probe else [])]
     outcome = outcome_of(operations, mode)
     if outcome == "in_sync" and baseline is not None and differences(baseline.schema, spec):
         outcome = "already_healed"
     return Conformed(add_missing(df, spec) if outcome == "healed" else df, operations, outcome)
 
 
+LEDGER = "table string, kind string, column string, applied_at timestamp"
+
+
+def applied(spark: SparkSession, ledger: str) -> DataFrame:
+    """The operations that have been applied, each once with its first time."""
+    if not exists(spark, ledger):
+        return spark.createDataFrame([], LEDGER)
+    rows = spark.read.schema(LEDGER).parquet(ledger)
+    return rows.groupBy("table", "kind", "column").agg(F.min("applied_at").alias("applied_at"))
+
+
+def conform_recorded(df: DataFrame, spec: TableSpec, ledger: str, at: datetime, mode: str = "heal", probe: bool = True) -> Conformed:
+    """:func:`conform` with a ledger of what has been applied, a small parquet table at ``ledger``.
+
+    Stored data is not rewritten, so its differences show on every read. If the ledger has all of them the outcome is ``already_healed``
+    and the data comes in the target schema; if some are new they are recorded and it is ``healed``. A plan that is blocked,
+    detected or disabled records nothing. Operations are recorded before the data is used; a record that is written twice counts once.
+    """
+    made = conform(df, spec, mode, probe=probe)
+    if made.outcome != "healed":
+        return made
+    spark = df.sparkSession
+    known = {(r["table"], r["kind"], r["column"]) for r in applied(spark, ledger).where(F.col("table") == spec.name).collect()}
+    new = [o for o in made.operations if (o.table, o.kind, o.column) not in known]
+    if not new:
+        return made._replace(outcome="already_healed")
+    rows = [(o.table, o.kind, o.column, at) for o in new]
+    spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("append").parquet(ledger)
+    return made
+
+
 def conform_tables(
     tables: dict[str, DataFrame], specs: list[TableSpec], mode: str = "heal"
 ) -> tuple[dict[str, DataFrame], list[Operation], str]:

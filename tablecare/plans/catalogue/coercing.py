@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tablecare.functions import text, values
 from tablecare.operators import coercion as c
 from tablecare.operators import conforming, projection as p
-from tablecare.plans.catalogue.registry import query
+from tablecare.plans.catalogue.registry import query, run_folder
 from tablecare.sources.exporting import canonical_export
 from tablecare.sources.tables import read_table
 from tablecare.spec import ColumnSpec, TableSpec
@@ -344,6 +347,77 @@ def conform_heal(spark: SparkSession, sf: str) -> DataFrame:
     return conforming.conform(orders, spec).df
 
 
+def _strict_orders(spark: SparkSession, sf: str) -> tuple[DataFrame, TableSpec]:
+    """Orders with some customers unknown, and a schema that tightens and retypes columns."""
+    owner = F.when(F.col("o_orderkey") % 10 != 0, F.col("o_custkey"))
+    orders = read_table(spark, sf, "orders").withColumn("o_custkey", owner)
+    columns = [
+        ColumnSpec("o_orderkey", T.LongType(), nullable=False),
+        ColumnSpec("o_custkey", T.LongType(), nullable=False),
+        ColumnSpec("o_orderstatus", T.StringType(), max_length=1),
+        ColumnSpec("o_totalprice", T.DecimalType(12, 2)),
+        ColumnSpec("o_orderdate", T.TimestampNTZType()),
+        ColumnSpec("o_orderpriority", T.StringType(), max_length=6),
+        ColumnSpec("o_comment", T.StringType()),
+    ]
+    return orders, TableSpec("orders", tuple(columns), key=("o_orderkey",), unique=(("o_custkey",),))
+
+
+STRICT = """
+    SELECT 'orders' AS "table", 'retype column' AS kind, 'o_totalprice' AS "column", false AS safe, CAST(0 AS bigint) AS rows
+    UNION ALL SELECT 'orders', 'add column', 'o_comment', true, 0
+    UNION ALL SELECT 'orders', 'tighten: null value', 'o_custkey', false, count(*) FILTER (o_orderkey % 10 = 0) FROM orders
+    UNION ALL SELECT 'orders', 'tighten: too long', 'o_orderpriority', false, count(*) FILTER (length(o_orderpriority) > 6) FROM orders
+    UNION ALL SELECT 'orders', 'tighten: duplicate key', 'o_custkey', false,
+        count(*) FILTER (o_orderkey % 10 <> 0) - count(DISTINCT o_custkey) FILTER (o_orderkey % 10 <> 0) FROM orders
+"""
+
+
+@query(f"SELECT *, 'blocked' AS outcome FROM ({STRICT})")
+def conform_blocked(spark: SparkSession, sf: str) -> DataFrame:
+    """Why orders cannot be brought to a stricter schema, with the rows that stand in the way."""
+    made = conforming.conform(*_strict_orders(spark, sf), probe=True)
+    schema = "table string, kind string, column string, safe boolean, rows bigint"
+    return spark.createDataFrame([tuple(o) for o in made.operations], schema).withColumn("outcome", F.lit(made.outcome))
+
+
+def _healed_twice(spark: SparkSession, sf: str, mode: str) -> DataFrame:
+    orders, ledger = read_table(spark, sf, "orders"), f"{run_folder(spark)}/ledger"
+    held = TableSpec.of("orders", orders.schema).columns
+    wider = (ColumnSpec("o_comment", T.StringType()), ColumnSpec("o_shippriority", T.IntegerType(), False, default=7))
+    widest = (*wider, ColumnSpec("o_clerk", T.StringType()))
+    steps = []
+    for step, extra in enumerate((wider, wider, widest, widest), 1):
+        made = conforming.conform_recorded(orders, TableSpec("orders", (*held, *extra)), ledger, datetime(2024, 3, step), mode)
+        priority = F.sum("o_shippriority") if "o_shippriority" in made.df.columns else F.lit(None).cast("bigint")
+        facts = made.df.agg(F.count(F.lit(1)).alias("n_rows"), priority.alias("priorities"))
+        steps.append(facts.select(F.lit(step).alias("step"), F.lit(made.outcome).alias("outcome"), F.lit(conforming.applied(spark, ledger).count()).alias("recorded"), "n_rows", "priorities"))
+    return reduce(DataFrame.unionAll, steps)
+
+
+@query(
+    """
+    SELECT step, outcome, CAST(recorded AS bigint) AS recorded, n_rows, CAST(7 * n_rows AS bigint) AS priorities
+    FROM (VALUES (1, 'healed', 2), (2, 'already_healed', 2), (3, 'healed', 3), (4, 'already_healed', 3)) AS v(step, outcome, recorded),
+         (SELECT count(*) AS n_rows FROM orders)
+    """
+)
+def conform_already_healed(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders read four times under two growing schemas; the ledger knows what was applied before."""
+    return _healed_twice(spark, sf, "heal")
+
+
+@query(
+    """
+    SELECT step, 'detected' AS outcome, CAST(0 AS bigint) AS recorded, n_rows, CAST(NULL AS bigint) AS priorities
+    FROM (VALUES (1), (2), (3), (4)) AS v(step), (SELECT count(*) AS n_rows FROM orders)
+    """
+)
+def conform_detected(spark: SparkSession, sf: str) -> DataFrame:
+    """The same in report mode: the data stays as it is and nothing is recorded."""
+    return _healed_twice(spark, sf, "report")
+
+
 @query(
     """
     SELECT doc_id, lang, source FROM documents

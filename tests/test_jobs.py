@@ -300,6 +300,32 @@ def test_new_keys_block(spark):
     assert cf.conform(spark.range(2), WIDE, extra=extra).outcome == "blocked"
 
 
+def test_probes_find_what_types_do_not_show(spark):
+    spec = TableSpec("t", (ColumnSpec("id", T.LongType(), False), ColumnSpec("note", T.StringType(), max_length=2)), ("id",))
+    rows = [(1, "ab"), (1, "abc"), (None, "x"), (2, None)]
+    df = spark.createDataFrame(rows, "id long, note string")
+    assert cf.conform(df, spec).outcome == "in_sync"
+    made = cf.conform(df, spec, probe=True)
+    assert made.outcome == "blocked" and [(o.kind, o.column, o.rows) for o in made.operations] == [
+        ("tighten: duplicate key", "id", 1), ("tighten: null value", "id", 1), ("tighten: too long", "note", 1),
+    ]
+    assert cf.conform(df.where("id = 2"), spec, probe=True).outcome == "in_sync"
+
+
+def test_the_ledger_records_what_was_healed(spark, folder):
+    ledger, at = f"{folder()}/ledger", datetime(2024, 5, 1)
+    data = spark.range(2)
+    assert cf.conform_recorded(data, WIDE, ledger, at, "report").outcome == "detected" and cf.applied(spark, ledger).count() == 0
+    for outcome in ("healed", "already_healed"):
+        made = cf.conform_recorded(data, WIDE, ledger, at)
+        assert made.outcome == outcome and [tuple(r) for r in made.df.collect()] == [(0, None, 3), (1, None, 3)]
+    assert sorted((r["column"], r["applied_at"]) for r in cf.applied(spark, ledger).collect()) == [("note", at), ("rank", at)]
+    other = TableSpec("u", WIDE.columns)
+    assert cf.conform_recorded(data, other, ledger, at).outcome == "healed" and cf.applied(spark, ledger).count() == 4
+    strict = TableSpec("t", (*WIDE.columns, ColumnSpec("must", T.StringType(), False)))
+    assert cf.conform_recorded(data, strict, ledger, at).outcome == "blocked" and cf.applied(spark, ledger).count() == 4
+
+
 def test_conform_dataset_adds_tables(spark):
     other = TableSpec("new", (ColumnSpec("k", T.StringType()),))
     healed, operations, outcome = cf.conform_tables({"t": spark.range(2)}, [WIDE, other])

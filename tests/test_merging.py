@@ -55,15 +55,15 @@ def test_reuse_is_case_sensitive(frame, rows):
     assert out.remap.count() == 0
 
 
-PROVIDER = "item string, provider string, value string"
+READING = "station string, hour int, level string"
 
 
 def test_keep_first_never_changes_a_stored_row(frame, rows):
-    stored = frame([("a", "db", "123")], PROVIDER)
-    incoming = frame([("a", "db", "999"), ("b", "db", "2"), ("b", "db", "1"), (None, "db", "3")], PROVIDER)
-    once = m.merge_keep_first(stored, incoming, ["item", "provider"], [])
-    assert rows(once) == [("a", "db", "123"), ("b", "db", "1")]
-    assert rows(m.merge_keep_first(once, incoming, ["item", "provider"], [])) == rows(once)
+    stored = frame([("quay", 6, "4.2 m")], READING)
+    incoming = frame([("quay", 6, "5.0 m"), ("weir", 7, "2"), ("weir", 7, "1"), (None, 9, "3")], READING)
+    once = m.merge_keep_first(stored, incoming, ["station", "hour"], [])
+    assert rows(once) == [("quay", 6, "4.2 m"), ("weir", 7, "1")]
+    assert rows(m.merge_keep_first(once, incoming, ["station", "hour"], [])) == rows(once)
 
 
 def test_a_table_of_keys_only(frame, rows):
@@ -72,33 +72,33 @@ def test_a_table_of_keys_only(frame, rows):
 
 
 def test_last_wins_replaces_all_columns(frame, rows):
-    stored = frame([("a", "db", "123"), ("z", "db", "0")], PROVIDER)
-    incoming = frame([("a", "db", None), ("b", "db", "1"), ("b", "db", "2")], PROVIDER)
-    order = [F.col("value").desc()]
-    merged = m.merge_last_wins(stored, incoming, ["item", "provider"], order)
-    assert rows(merged) == [("a", "db", None), ("b", "db", "2"), ("z", "db", "0")]
-    assert rows(m.merge_last_wins(merged, incoming, ["item", "provider"], order)) == rows(merged)
+    stored = frame([("quay", 6, "4.2 m"), ("lock", 8, "0")], READING)
+    incoming = frame([("quay", 6, None), ("weir", 7, "1"), ("weir", 7, "2")], READING)
+    order = [F.col("level").desc()]
+    merged = m.merge_last_wins(stored, incoming, ["station", "hour"], order)
+    assert rows(merged) == [("lock", 8, "0"), ("quay", 6, None), ("weir", 7, "2")]
+    assert rows(m.merge_last_wins(merged, incoming, ["station", "hour"], order)) == rows(merged)
 
 
 def test_full_row_recreates_a_vanished_row_and_refuses_a_partial_one(frame, rows):
-    stored = frame([], PROVIDER)
-    assert rows(m.merge_full_row(stored, frame([("a", "db", "1")], PROVIDER), ["item"], [])) == [("a", "db", "1")]
-    with pytest.raises(ValueError, match="value"):
-        m.merge_full_row(stored, frame([("a", "db")], "item string, provider string"), ["item"], [])
+    stored = frame([], READING)
+    assert rows(m.merge_full_row(stored, frame([("quay", 6, "1")], READING), ["station"], [])) == [("quay", 6, "1")]
+    with pytest.raises(ValueError, match="level"):
+        m.merge_full_row(stored, frame([("quay", 6)], "station string, hour int"), ["station"], [])
 
 
 def test_update_matched_lands_nulls_and_never_inserts(frame, rows):
-    stored = frame([("a", "db", "1"), ("b", "db", "2")], PROVIDER)
-    patch = frame([("a", None), ("new", "x")], "item string, value string")
-    assert rows(m.update_matched(stored, patch, ["item"])) == [("a", "db", None), ("b", "db", "2")]
+    stored = frame([("quay", 6, "1"), ("weir", 7, "2")], READING)
+    patch = frame([("quay", None), ("new", "x")], "station string, level string")
+    assert rows(m.update_matched(stored, patch, ["station"])) == [("quay", 6, None), ("weir", 7, "2")]
 
 
 def test_report_counts_every_incoming_row_once(frame):
-    stored = frame([("a", "db", "1")], PROVIDER)
-    incoming = frame([("a", "db", "2"), ("b", "db", "1"), ("b", "db", "2"), (None, "db", "3")], PROVIDER)
-    keep = m.merge_report(stored, incoming, ["item", "provider"], "keep_first", "t").first()
+    stored = frame([("quay", 6, "1")], READING)
+    incoming = frame([("quay", 6, "2"), ("weir", 7, "1"), ("weir", 7, "2"), (None, 9, "3")], READING)
+    keep = m.merge_report(stored, incoming, ["station", "hour"], "keep_first", "t").first()
     assert keep.asDict() == {"table": "t", "read": 4, "inserted": 1, "updated": 0, "skipped": 2, "refused": 1}
-    wins = m.merge_report(stored, incoming, ["item", "provider"], "last_wins", "t").first()
+    wins = m.merge_report(stored, incoming, ["station", "hour"], "last_wins", "t").first()
     assert wins.asDict() == {"table": "t", "read": 4, "inserted": 1, "updated": 1, "skipped": 1, "refused": 1}
 
 
