@@ -13,6 +13,7 @@ from tablecare.operators.keys import (
     hot_keys,
     number_rows,
     null_safe,
+    row_hash,
     split_by,
     total_order,
 )
@@ -67,7 +68,7 @@ def first_occurrence(df: DataFrame, keys: list[str], order: list[str], name: str
     Rows with equal ``order`` are told apart by a hash of the row; only rows that are equal throughout share the flag. The
     join is on key, order and hash together, so the rows of a hot key spread over the tasks.
     """
-    marked = df.withColumn("_print", F.xxhash64(*df.columns))
+    marked = df.withColumn("_print", row_hash(df, df.columns, 1))
     columns = [*keys, *order, "_print"]
     firsts = first_per_key(marked.select(*columns), keys, [*order, "_print"])
     firsts = firsts.select(*[F.col(c).alias(f"_first_{c}") for c in columns], F.lit(True).alias("_is"))

@@ -415,7 +415,7 @@ def test_report_survives_a_check_that_fails_while_running(spark):
 def test_slow_report_with_rows_and_hits(frame):
     log = frame([("q" * 130, 600.0, 10, 3, 1)] * 3 + [("fast", 1.0, 1, 0, 0)] * 3, "sql string, ms double, n int, hit int, miss int")
     row = health.slow_report(log, "sql", "ms", rows="n", hits="hit", reads="miss").collect()
-    assert len(row) == 1 and row[0]["severity"] == "warn" and row[0]["sql"] == "q" * 120 + "…"
+    assert len(row) == 1 and row[0]["severity"] == "warn" and row[0]["preview"] == "q" * 120 + "…" and row[0]["sql"] == "q" * 130
     assert (row[0]["calls"], row[0]["mean_ms"], row[0]["avg_rows"], row[0]["hit_pct"]) == (3, 600.0, 10.0, 75.0)
 
 

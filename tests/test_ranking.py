@@ -89,3 +89,10 @@ def test_small_parents_are_broadcast(spark):
     from tablecare.plans.catalogue import QUERIES
 
     assert "BroadcastHashJoin" in plan_of(QUERIES["drop_orphans"](spark, SMALL))
+
+
+def test_first_occurrence_with_maps_and_nulls(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, 2, map('a', 1)), (1, 1, map('b', 2)), (1, 1, map('b', 2)), (2, NULL, NULL) AS t(k, t, m)")
+    found = ranking.first_occurrence(df, ["k"], ["t"])
+    assert sorted((x["k"], x["t"], x["is_first"]) for x in found.where("k = 1").collect()) == [(1, 1, True), (1, 1, True), (1, 2, False)]
+    assert [x["is_first"] for x in found.where("k = 2").collect()] == [True]
