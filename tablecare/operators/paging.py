@@ -5,8 +5,10 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import types as T
 
 from tablecare.operators.keys import number_rows, total_order
+from tablecare.session import estimated_bytes, shuffle_partitions
 
 TOP_LIMIT = 50
 PREVIEW_LIMIT = 200
@@ -32,13 +34,49 @@ def page(df: DataFrame, order: list[Column | str], size: int, number: int) -> Da
     """Page ``number`` (from 0) of ``size`` rows.
 
     Near the start this is a top-n. A deep page would drag all rows before it through one task, so
-    it is cut out of rows numbered across tasks.
+    it is cut out of rows numbered across tasks; if ``order`` consists of column names, only of the rows near it (:func:`near_rank`).
     """
     start = size * number
     if start + size <= SHALLOW_ROWS:
         return df.orderBy(*total_order(df, order)).offset(start).limit(size)
+    before = 0
+    if all(isinstance(o, str) for o in order) and order:
+        df, before = near_rank(df, list(order), start, start + size)
     numbered = number_rows(df, order, "_row")
-    return numbered.where((F.col("_row") >= start) & (F.col("_row") < start + size)).drop("_row")
+    first = start - before
+    return numbered.where((F.col("_row") >= first) & (F.col("_row") < first + size)).drop("_row")
+
+
+def near_rank(df: DataFrame, order: list[str], first: int, end: int) -> tuple[DataFrame, int]:
+    """(rows, before): the rows in the ranges of ``order`` (ascending, NULLs first) that hold ranks ``first`` to ``end``, and how many rows come before them.
+
+    Only the order columns are shuffled, by ranges; the driver gets the size and the smallest value of each range. The rows are then a
+    filtered scan of the table, so neither a sort nor a copy touches the others. Equal values lie in one range.
+    """
+    value = F.struct(*order)
+    laid = df.select(*order)
+    ranges = shuffle_partitions(estimated_bytes(laid), df.sparkSession.sparkContext.defaultParallelism)
+    laid = laid.repartitionByRange(ranges, *order)
+    sizes = laid.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("low")).orderBy("part").collect()
+    before, low, high, passed = 0, None, None, 0
+    for row in sizes:
+        if passed + row["n"] <= first:
+            before = passed + row["n"]
+        elif passed >= end:
+            high = row["low"]
+            break
+        elif low is None:
+            low = row["low"]
+        passed += row["n"]
+    if low is None:
+        return df.limit(0), before
+    edges = df.sparkSession.createDataFrame([(low, high)], T.StructType([T.StructField(n, _all_nullable(laid.schema)) for n in ("_low", "_high")]))
+    inside = (value >= F.col("_low")) & (F.col("_high").isNull() | (value < F.col("_high")))
+    return df.join(F.broadcast(edges), inside).select(*df.columns), before
+
+
+def _all_nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
 
 
 class Preview(NamedTuple):

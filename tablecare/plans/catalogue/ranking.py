@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tablecare.functions.text import console_text
 from tablecare.operators import paging, ranking as r, sets
 from tablecare.plans.catalogue.registry import query
 from tablecare.sources.tables import read_table
@@ -106,6 +107,48 @@ def page(spark: SparkSession, sf: str) -> DataFrame:
     return paging.page(read_table(spark, sf, "customer", ["c_custkey", "c_name"]), ["c_name", "c_custkey"], 100, 1)
 
 
+@query(
+    """
+    SELECT * FROM lineitem ORDER BY l_shipdate, l_partkey, l_orderkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus
+    LIMIT 1000 OFFSET 40000
+    """
+)
+def page_deep(spark: SparkSession, sf: str) -> DataFrame:
+    """The 41st page of 1000 order lines by date and part, whole rows."""
+    return paging.page(read_table(spark, sf, "lineitem"), ["l_shipdate", "l_partkey"], 1000, 40)
+
+
+@query(
+    """
+    SELECT count(*) AS n_rows, least(count(*), 200) AS shown, count(*) > 200 AS truncated,
+           (SELECT CAST(sum(o_orderkey) AS bigint) FROM (SELECT o_orderkey FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 200)) AS keys
+    FROM orders
+    """
+)
+def preview(spark: SparkSession, sf: str) -> DataFrame:
+    """The first 200 orders as a preview shows them, and whether there are more."""
+    orders = read_table(spark, sf, "orders", ["o_orderkey", "o_orderdate"])
+    shown = paging.preview(orders.orderBy("o_orderdate", "o_orderkey"), 200)
+    facts = [(len(shown.rows), shown.truncated, sum(r["o_orderkey"] for r in shown.rows))]
+    made = spark.createDataFrame(facts, "shown bigint, truncated boolean, keys bigint")
+    return made.join(orders.agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@query(
+    """
+    SELECT CAST(event_id AS varchar) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS ts, event_type, '[2 items]' AS pair,
+           'byte[' || octet_length(encode(event_type)) || ']' AS raw, '{"user_id":' || user_id || '}' AS owner FROM events
+    """
+)
+def console_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with nested and binary values, as the console shows them."""
+    events = read_table(spark, sf, "events", ["event_id", "ts", "event_type", "user_id"])
+    nested = events.select(
+        "event_id", "ts", "event_type", F.array("event_id", "user_id").alias("pair"), F.col("event_type").cast("binary").alias("raw"), F.struct("user_id").alias("owner")
+    )
+    return nested.select(*[console_text(F.col(f.name), f.dataType).alias(f.name) for f in nested.schema.fields])
+
+
 @query(
     """
     SELECT o_orderkey, o_custkey FROM orders

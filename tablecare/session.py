@@ -32,14 +32,18 @@ def shuffle_partitions(input_bytes: int, cores: int) -> int:
 SMALL_BYTES = 256 << 20
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """What Spark expects the rows to take; nothing runs for it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def dealt_out(df: DataFrame) -> DataFrame:
     """A small table over all cores, for work that costs much more per row than moving the row; a large one as it is.
 
     A small table may be one file with one row group, so one task would do all the work. A table that Spark estimates at more than
     256 MB has enough splits of its own, and is not moved.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SMALL_BYTES else df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if estimated_bytes(df) <= SMALL_BYTES else df
 
 
 def build_session(app: str = "tablecare", master: str | None = None, **extra: str) -> SparkSession:

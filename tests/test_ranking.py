@@ -96,3 +96,15 @@ def test_first_occurrence_with_maps_and_nulls(spark):
     found = ranking.first_occurrence(df, ["k"], ["t"])
     assert sorted((x["k"], x["t"], x["is_first"]) for x in found.where("k = 1").collect()) == [(1, 1, True), (1, 1, True), (1, 2, False)]
     assert [x["is_first"] for x in found.where("k = 2").collect()] == [True]
+
+
+@pytest.mark.parametrize("start", [0, 37, 5_000, 11_990, 20_000])
+def test_a_deep_page_looks_only_near_its_rank(spark, start, monkeypatch):
+    monkeypatch.setattr(paging, "SHALLOW_ROWS", 0)
+    df = spark.range(12_000).select((F.col("id") * 7919 % 12_000).alias("id"), F.when(F.col("id") % 5 != 0, F.col("id") % 300).alias("v"), F.lit("x").alias("w"))
+    rows = sorted(map(tuple, df.collect()), key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    page = paging.page(df, ["v"], 1, start) if start % 10 else paging.page(df, ["v"], 10, start // 10)
+    size = 1 if start % 10 else 10
+    assert sorted(map(tuple, page.collect())) == sorted(rows[start : start + size])
+    near, before = paging.near_rank(df, ["v", "id"], start, start + size)
+    assert near.count() <= 12_000 // 2 and before <= start or start >= 12_000
