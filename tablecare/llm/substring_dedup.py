@@ -49,7 +49,7 @@ def fragments_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...
     n = len(data)
     if n < WINDOW:
         return tuple(np.zeros(0, np.int64) for _ in range(4)) + tuple(np.zeros(0, np.uint64) for _ in range(2))
-    up, down = powers(n)
+    up, down = powers(n, PART_BYTES)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
     grams = mix((total[ANCHOR:] - total[:-ANCHOR]) * down[: n - ANCHOR + 1])

@@ -35,20 +35,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=2)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(size, _BASE, np.uint64), np.full(size, _INVERSE, np.uint64)
     up[0] = down[0] = 1
-    return np.cumprod(up, out=up), np.cumprod(down, out=down)
+    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
-_longest = [1 << 16]
-
-
-def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse modulo 2**64, at least ``size`` of them; as many as the longest slice so far asked for."""
-    _longest[0] = max(_longest[0], 1 << int(size).bit_length())
-    return _powers(_longest[0])
+def powers(size: int, least: int = SLICE_BYTES + 1) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base and of its inverse modulo 2**64, at least ``size`` and ``least`` of them."""
+    return _powers(max(least, 1 << int(size).bit_length()))
 
 
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
