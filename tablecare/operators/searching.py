@@ -7,7 +7,8 @@ A text that holds a term holds every gram (1 to 3 characters in a row) of the te
 is filed under one of its grams, each text offers its distinct grams, and the two meet in an
 equi-join; the substring test then runs on those candidates only. The gram of a term is the one
 that is rarest in a sample of the catalogue; any choice gives the same answer. Where ids are shuffled, the
-rows of a gram are dealt to several tasks and its terms are sent to each, so a common gram is not one task.
+rows of a gram are dealt to several tasks and its terms are sent to each, so a common gram is not one task. These joins
+are hinted: Spark estimates rows by the size of compressed files and would broadcast a catalogue or its grams.
 
 Word similarity is bounded in SQL from both sides, which mostly gives the score itself. Only rows whose bounds
 differ and that can still reach the best k of their term are scored by looking at the runs of their texts.
@@ -125,8 +126,8 @@ def candidates(
     salt = F.pmod(F.xxhash64(corpus_id), F.lit(SALTS)).alias("_salt")
     offered = corpus.select(F.col(corpus_id).alias("_row_id"), salt, F.explode(_all_grams(columns, sizes)).alias("_gram"))
     dealt = filed.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    pairs = offered.join(dealt, ["_gram", "_salt"]).drop("_gram", "_salt")
-    return corpus.join(pairs, corpus[corpus_id] == pairs["_row_id"]).where(holds).drop("_row_id")
+    pairs = offered.join(dealt.hint("merge"), ["_gram", "_salt"]).drop("_gram", "_salt")
+    return corpus.join(pairs.hint("merge"), corpus[corpus_id] == pairs["_row_id"]).where(holds).drop("_row_id")
 
 
 def exact_score(name: Column, term: Column) -> Column:

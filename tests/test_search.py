@@ -8,7 +8,7 @@ from pyspark.sql import Window, functions as F
 
 from tablecare.functions.similarity import best_overlap, padded_words, plain_words, similarity_bounds, term_facts, word_similarity, word_trigrams
 from tablecare.operators import searching as s
-from tests.conftest import SMALL, plan_of
+from tests.conftest import SMALL, final_plan, plan_of
 
 
 def brute_force(term, text):
@@ -133,6 +133,19 @@ def test_a_gram_in_every_row_is_dealt_to_many_tasks(spark, frame):
     assert "_salt" in plan_of(found)
 
 
+def test_shuffled_search_broadcasts_neither_catalogue_nor_grams(spark, tmp_path):
+    """A file of few bytes with many rows: its size says nothing about the rows that the joins build."""
+    path = str(tmp_path / "parts")
+    spark.range(20_000).select("id", F.concat(F.lit("large ring "), F.col("id") % 7).alias("title")).write.parquet(path)
+    corpus = spark.read.parquet(path)
+    asked = spark.createDataFrame([("ring",), ("arge",)], "query_id string").withColumn("term", F.col("query_id"))
+    found = s.candidates(asked, corpus, "query_id", "term", "id", ["title"], few=0, broadcast_up_to=0)
+    assert found.count() == 40_000
+    plan = final_plan(found)
+    assert "SortMergeJoin" in plan
+    assert not [line for line in plan.split("\n") if "BroadcastHashJoin" in line and ("_row_id" in line or "_salt" in line)]
+
+
 def test_filter_and_shown_columns(catalogue, queries, rows):
     found = s.search(queries, catalogue, ["name"], where=F.col("id") > 1, show=["other", "id", "day"], k=2)
     assert found.columns == ["query_id", "id", "other", "day", "relevance", "position"]
