@@ -8,10 +8,10 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from tablecare.session import dealt_out
 from tablecare.sources.tables import exists, list_tables, read_table
 
 COMPLEX = (T.ArrayType, T.MapType, T.StructType, T.VariantType, T.BinaryType)
+FIXED = (T.IntegralType, T.FloatType, T.DoubleType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def _bound(kind, field: T.StructField) -> Column:
@@ -38,22 +38,31 @@ def _hashable(field: T.StructField) -> Column:
     return F.to_json(F.struct(column)) if isinstance(field.dataType, (T.MapType, T.VariantType, T.StructType, T.ArrayType)) else column
 
 
+def _value_key(field: T.StructField) -> list[Column]:
+    """What names a value in a distinct count: a value of fixed width is its own name, others have 128 bits of hash."""
+    if isinstance(field.dataType, FIXED):
+        return [F.col(field.name).alias("a")]
+    return [F.xxhash64(F.lit(seed), _hashable(field)).alias(h) for seed, h in ((1, "a"), (2, "b"))]
+
+
 def _distinct_counts(df: DataFrame) -> DataFrame:
-    """Distinct values per column position. Values are named by 128 bits of hash, so a cell costs 20 bytes of shuffle at most,
-    however long it is; equal ones of a task are one before that."""
-    named = [
-        F.struct(F.lit(i + 1).alias("position"), *[F.when(F.col(f.name).isNotNull(), F.xxhash64(F.lit(seed), _hashable(f))).alias(h) for seed, h in ((1, "a"), (2, "b"))])
-        for i, f in enumerate(df.schema.fields)
-    ]
-    long = dealt_out(df).select(F.inline(F.array(*named))).where(F.col("a").isNotNull())
-    return long.distinct().groupBy("position").agg(F.count(F.lit(1)).alias("distinct_values"))
+    """Distinct values per column position, each column by a scan of its own.
+
+    A task holds the values of one column of its split, not of all columns, and a cell costs 16 bytes of shuffle at most, however
+    long it is; equal ones of a task are one before that.
+    """
+    counts = []
+    for i, field in enumerate(df.schema.fields):
+        values = df.where(F.col(field.name).isNotNull()).select(*_value_key(field)).distinct()
+        counts.append(values.agg(F.count(F.lit(1)).alias("distinct_values")).select(F.lit(i + 1).alias("position"), "distinct_values"))
+    return reduce(DataFrame.unionAll, counts)
 
 
 def column_profile(df: DataFrame, table: str, distinct: str = "exact") -> DataFrame:
     """One row per column: type, position, nullability, NULLs, distinct values, bounds, longest text.
 
-    One aggregation serves all columns. Exact distinct counts take a second one over (column, hash of the value)
-    pairs; ``distinct='approx'`` stays with the first.
+    One aggregation serves all columns. Exact distinct counts take one more per column, over its values or their hashes;
+    ``distinct='approx'`` stays with the first.
     """
     if distinct not in ("exact", "approx"):
         raise ValueError("distinct must be 'exact' or 'approx'")

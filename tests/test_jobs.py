@@ -14,7 +14,7 @@ from tablecare.plans import reports
 from tablecare.sources import copying, history, inventory, reconciling, tables
 from tablecare.session import shuffle_partitions
 from tablecare.spec import ColumnSpec, ForeignKey, TableSpec
-from tests.conftest import final_plan
+from tests.conftest import final_plan, plan_of
 
 
 @pytest.fixture()
@@ -242,6 +242,14 @@ def test_refreshed_profile_reads_new_files_only(spark, folder):
     assert inventory.refresh_profile(spark, data, "t", parts).first()["max_value"] == "4"
 
 
+def test_a_task_of_a_distinct_count_holds_one_column(spark):
+    rows = [(k, k % 3, f"t{k % 5}" if k % 2 else None, -0.0 if k % 2 else 0.0, float("nan"), k % 2 == 0, datetime(2024, 1, 1 + k % 9), Decimal(k % 4)) for k in range(40)]
+    df = spark.createDataFrame(rows, "i long, j int, s string, z double, n float, b boolean, t timestamp_ntz, d decimal(20,2)")
+    made = inventory.column_profile(df, "t")
+    assert [r["distinct_values"] for r in made.orderBy("position").collect()] == [40, 3, 5, 1, 1, 2, 9, 4]
+    assert "Generate" not in plan_of(inventory._distinct_counts(df))
+
+
 def test_exact_distinct_counts_shuffle_hashes(spark):
     df = spark.range(10).select(F.repeat(F.col("id").cast("string"), 1000).alias("long"), "id")
     made = inventory.column_profile(df, "t")
