@@ -106,9 +106,8 @@ SKETCH_BITS = 14
 """Logarithm of the counters of a sketch: 16 384 of them are off by about 0.8 %, at 12 to 16 KB a sketch."""
 
 
-def _order(field: T.StructField) -> list[Column]:
+def _order(column: Column, kind: T.DataType) -> list[Column]:
     """What puts the values of a column in order, as parts of one type for all columns: exact number, floating number, text."""
-    column, kind = F.col(field.name), field.dataType
     exact, number, text = F.lit(None).cast("decimal(38,18)"), F.lit(None).cast("double"), F.lit(None).cast("string")
     if isinstance(kind, T.BooleanType):
         exact = column.cast("int").cast("decimal(38,18)")
@@ -127,6 +126,26 @@ def _order(field: T.StructField) -> list[Column]:
     return [number, exact, text] if isinstance(kind, T.DecimalType) else [exact, number, text]
 
 
+def _extreme(field: T.StructField, smallest: bool) -> Column:
+    """The smallest or largest value of a column, in its own type where that orders values as :func:`_order` does."""
+    column, pick = F.col(field.name), F.min if smallest else F.max
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        # -0.0 and 0.0 are equal, so a flag puts -0.0 first.
+        plus = F.when(column == 0, column.cast("string") != "-0.0").otherwise(F.lit(True))
+        return pick(F.when(column.isNotNull(), F.struct(column.alias("value"), plus.alias("plus")))).getField("value")
+    native = isinstance(field.dataType, (T.BooleanType, T.IntegralType, T.TimestampType, T.TimestampNTZType))
+    if native or isinstance(field.dataType, T.StringType):
+        return pick(column if native else column.cast("string"))
+    ordered = [o.alias(n) for o, n in zip(_order(column, field.dataType), ("first", "second", "third"))]
+    return pick(F.when(column.isNotNull(), F.struct(*ordered, column.cast("string").alias("shown"), column.alias("value")))).getField("value")
+
+
+def _bound_of(value: Column, kind: T.DataType) -> Column:
+    """A value as a bound that compares with those of other parts."""
+    parts = [o.alias(n) for o, n in zip(_order(value, kind), ("first", "second", "third"))]
+    return F.when(value.isNotNull(), F.struct(*parts, value.cast("string").alias("shown"))).cast(BOUND)
+
+
 def profile_parts(df: DataFrame, table: str, part: Column | None = None) -> DataFrame:
     """One row per part and column that :func:`merged_profile` can add up: counts, bounds, longest text, and a sketch of the values.
 
@@ -136,13 +155,13 @@ def profile_parts(df: DataFrame, table: str, part: Column | None = None) -> Data
     aggregates, lines = [F.count(F.lit(1)).alias("_rows")], []
     for i, field in enumerate(df.schema.fields):
         column, plain = F.col(field.name), not isinstance(field.dataType, COMPLEX)
-        bound = F.struct(*[o.alias(n) for o, n in zip(_order(field), ("first", "second", "third"))], column.cast("string").alias("shown")) if plain else None
-        low, high = [F.lit(None).cast(BOUND)] * 2 if bound is None else [kind(F.when(column.isNotNull(), bound)).cast(BOUND) for kind in (F.min, F.max)]
+        low, high = [_extreme(field, smallest) if plain else F.lit(None) for smallest in (True, False)]
         longest = F.max(F.char_length(column)) if isinstance(field.dataType, T.StringType) else F.lit(None)
         aggregates += [F.count(column).alias(f"_known_{i}"), low.alias(f"_low_{i}"), high.alias(f"_high_{i}"), longest.cast("int").alias(f"_longest_{i}")]
         aggregates.append(F.hll_sketch_agg(_as_text(field), F.lit(SKETCH_BITS)).alias(f"_sketch_{i}"))
         about = [F.lit(v).alias(n) for n, v in (("table", table), ("position", i + 1), ("column", field.name), ("type", field.dataType.simpleString()), ("nullable", field.nullable))]
-        lines.append(F.struct("part", *about, F.col("_rows").alias("n_rows"), (F.col("_rows") - F.col(f"_known_{i}")).alias("nulls"), *[F.col(f"_{n}_{i}").alias(n) for n in ("low", "high", "longest", "sketch")]))
+        bounds = [(_bound_of(F.col(f"_{n}_{i}"), field.dataType) if plain else F.lit(None).cast(BOUND)).alias(n) for n in ("low", "high")]
+        lines.append(F.struct("part", *about, F.col("_rows").alias("n_rows"), (F.col("_rows") - F.col(f"_known_{i}")).alias("nulls"), *bounds, *[F.col(f"_{n}_{i}").alias(n) for n in ("longest", "sketch")]))
     name = (F.lit("") if part is None else part.cast("string")).alias("part")
     return df.groupBy(name).agg(*aggregates).select(F.inline(F.array(*lines)))
 

@@ -229,6 +229,15 @@ def test_merged_profile_equals_the_whole(spark):
             assert abs(line["distinct_values"] - expected["distinct_values"]) <= 0.03 * expected["distinct_values"]
 
 
+def test_bounds_of_parts_are_made_once_per_part(spark):
+    """Texts and decimals of bounds come after the aggregation, and -0.0 stands before 0.0."""
+    df = spark.createDataFrame([(0.0, 5, datetime(2024, 1, 2)), (-0.0, -7, datetime(2024, 1, 1)), (None, None, None)], "z double, i long, t timestamp_ntz")
+    made = {r["column"]: (r["min_value"], r["max_value"]) for r in inventory.merged_profile(inventory.profile_parts(df.unionAll(df.orderBy("z")), "t")).collect()}
+    assert made == {"z": ("-0.0", "0.0"), "i": ("-7", "5"), "t": ("2024-01-01 00:00:00", "2024-01-02 00:00:00")}
+    partial = [line for line in inventory.profile_parts(df, "t")._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate" in line]
+    assert partial and not any("date_format" in line.lower() or "decimal(38,18)" in line for line in partial)
+
+
 def test_refreshed_profile_reads_new_files_only(spark, folder):
     data, parts = folder(), folder()
     spark.range(100).repartition(2).write.parquet(data)
