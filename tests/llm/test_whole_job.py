@@ -6,7 +6,7 @@ from collections import Counter
 
 from tablecare.llm import html_content, line_dedup, secrets, wordpiece_counts
 from tablecare.llm.queries import QUERIES, vocabulary
-from tests.conftest import SMALL
+from tests.conftest import SMALL, plan_of
 from tests.llm import brute
 from tests.oracle import connect
 
@@ -80,3 +80,28 @@ def test_line_query_judges_every_line(spark):
     rows = [tuple(r) for r in connect(SMALL).execute("SELECT doc_id, coalesce(text, '') FROM documents ORDER BY doc_id").fetchall()]
     found = {r["doc_id"]: r["removed_lines"] for r in QUERIES["op9_line_dedup"](spark, SMALL).collect()}
     assert found == {i: ",".join(map(str, g)) for (i, _), g in zip(rows, brute.later_lines(rows))}
+
+
+def test_line_words_between_any_blanks(spark):
+    blanks, words = ["\t", "\x0b", "\x0c", "\r", " ", "\r \t", " \x0c\x0b "], "One two É\u00a0é \x01 five six \x1f seven".split(" ")
+    lines = [b.join(words) for b in blanks] + [b + b.join(words) + b for b in blanks] + blanks + ["\x01", "\x01 ", "\x1f\t", "\u00a0", " \u00a0", "".join(words)]
+    rows = [(0, "\n".join(lines[:9])), (1, "\n".join(lines[9:])), (2, "\n".join(lines)), (3, "\x01\r\n\r\n")]
+    expected = {i: g for (i, _), g in zip(rows, brute.later_lines(rows)) if g}
+    assert [len(g) for g in expected.values()] == [8, 7, 20, 1]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert {r["doc_id"]: r["removed"] for r in line_dedup.removed_per_document(docs).collect()} == expected
+
+
+def test_equal_lines_are_collapsed_once(spark):
+    rows = [(k, f"a line of {k % 5} words that stands in some texts\nand one of its own {k}") for k in range(20)]
+    found = line_dedup.later_matches(spark.createDataFrame(rows, "doc_id long, text string"))
+    scans = [line for line in plan_of(found).splitlines() if "Scan ExistingRDD" in line]
+    assert len([scan for scan in scans if "prefix" in scan]) == 1
+    assert sorted((r["doc_id"], r["pos"]) for r in found.collect()) == [(k, p) for k, g in enumerate(brute.later_lines(rows)) for p in g]
+
+
+def test_settings_stay_after_line_dedup(spark):
+    before = spark.conf.get(line_dedup.CLEAN_UP, None)
+    rows = [(0, "one line\nanother line"), (1, "one line")]
+    assert line_dedup.later_matches(spark.createDataFrame(rows, "doc_id long, text string")).count() == 1
+    assert spark.conf.get(line_dedup.CLEAN_UP, None) == before
