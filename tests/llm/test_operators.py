@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tablecare.llm import chat, decontamination, html_content, jaccard_join, line_dedup, packing, quality, secrets, substring_dedup, wordpiece_counts
 from tablecare.llm.components import components
 from tablecare.llm.queries import vocabulary
+from tests.conftest import plan_of
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, a string, b string, n string, row string, key string, tokens string, text_hash string, label string"
@@ -217,6 +218,30 @@ def test_repeated_strings(spark, docs, empty, rows, largest, monkeypatch):
     assert substring_dedup.removed_digest(empty).count() == 0
 
 
+@pytest.mark.parametrize(("few", "bits"), [(50_000, 1 << 25), (0, 1 << 25), (0, 1 << 15)])
+def test_repeats_broadcast_no_lists(spark, few, bits, monkeypatch):
+    """Only hashes or a sieve of bounded size go through the driver, and both lose no document."""
+    monkeypatch.setattr(substring_dedup, "BROADCAST_ROWS", few)
+    monkeypatch.setattr(substring_dedup, "SIEVE_BITS", bits)
+    r = random.Random(bits)
+    passage = prose(r, 150)
+    data = [(k % 7 or None, prose(r, 60) + passage[k : len(passage) - k] + prose(r, 60)) for k in range(20)] + [(k, prose(r, 90)) for k in range(30, 40)]
+    data += [(50, data[0][1]), (None, data[25][1]), (None, data[1][1]), data[3], (60, None), (61, "")]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    keyed = docs.where("text <> ''").select(F.xxhash64("text").alias("a"), "doc_id", F.sequence(F.lit(1), F.lit(500)).alias("spots")).distinct()
+    joined = substring_dedup._joined(docs, keyed, "doc_id", "text")
+    sent = [line for line in plan_of(joined).splitlines() if "BroadcastExchange" in line]
+    assert "SortMergeJoin" in plan_of(joined) and len(sent) == 1
+    assert sorted(((x["at_id"], x["text"]) for x in joined.collect()), key=repr) == sorted(((i, t) for i, t in data if t), key=repr)
+    sieve = substring_dedup._sieve(keyed.select(F.col("a").alias("key")))
+    assert sieve.columns == ["key"] if few else {len(x["bits"]) for x in sieve.collect()} == {4096} and sieve.count() <= bits // 32768
+    everything = spark.range(5000).select(F.xxhash64("id").alias("key")).unionAll(keyed.select("a"))
+    held, rest = (substring_dedup._sifted(everything, sieve, x) for x in (True, False))
+    assert held.count() + rest.count() == everything.count() and rest.join(keyed, F.col("key") == F.col("a")).count() == 0
+    expected = Counter((i, *d) for (i, _), d in zip(data, brute.repeats(data)))
+    assert Counter(tuple(x) for x in substring_dedup.removed_digest(docs).collect()) == expected
+
+
 def test_chat_round_trip(spark):
     said = ["", None, "<|turn|>user<|text|>x<|end|>", "</s>[INST] ok [/INST]", "back\\slash <\\| \\\\ [\\", "a" * 5000, "<"]
     turns = [(1, k, r, t) for k, (r, t) in enumerate(zip(["user", "assistant", None, "assistant", "assistant", "<|text|>", "user"], said))] + [(None, 0, "assistant", "x"), (None, 0, "assistant", "x"), (2, None, "user", "y"), (2, 1, "assistant", "z")]
